@@ -1,0 +1 @@
+"""Streaming: the source reports are batch only (monthly facts, no streams)."""
