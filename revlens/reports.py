@@ -32,7 +32,7 @@ _PL_MEASURE_COLS = ["gross_sales", "pre_invoice_deduction", "net_invoice_sales",
 
 
 def _star(spark: SparkSession, root: str) -> Star:
-    return Star.from_source(spark, root)
+    return Star.load(spark, root)
 
 
 def fiscal_calendar(spark, root):

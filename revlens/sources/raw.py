@@ -22,6 +22,13 @@ def table_path(root: str, name: str) -> str:
     return os.path.join(root, name)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through Hadoop's FileSystem (local, HDFS or object stores)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
+
+
 def read_table(spark: SparkSession, root: str, name: str, columns: list[str] | None = None) -> DataFrame:
     df = spark.read.parquet(table_path(root, name))
     return df.select(*columns) if columns else df

@@ -1,15 +1,16 @@
 """The sales / forecast star schema the reports run on.
 
-``Star`` holds lazy DataFrames for every dimension, fact and support table.
-It can be derived from the driver's TPC-H-like tables (``from_source``),
-read back from a stored copy (``read``), or written out (``write``) with the
+``Star`` hands out a DataFrame per dimension, fact and support table. Tables
+are opened lazily, on first use, so a report touching three tables never
+lists or inspects the other ten. A star is derived from the driver's
+TPC-H-like tables (``from_source``), read from a stored copy with fixed
+schemas (``read``), or derived and stored in one go (``build``), with the
 facts partitioned by ``fiscal_year`` so that fiscal-year filters prune files.
 """
 
 from __future__ import annotations
 
-import os
-from dataclasses import dataclass, fields
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from revlens.functions.arith import money
 from revlens.functions.fiscal import fiscal_year
 from revlens.plans.joins import attach_row
-from revlens.sources.raw import read_table
+from revlens.sources.raw import path_exists, read_table
 
 # Fixed values of the test fixtures (FIXTURES.md): the P&L line items in
 # their display order.
@@ -30,6 +31,40 @@ PL_ROWS = [
     (16, "Net Profit"), (17, "Net Profit %"),
 ]
 
+_MONEY_COLS = ("gross_sales_amount", "pre_invoice_deduction", "net_invoice_sales_amount",
+               "post_invoice_deduction", "post_invoice_other_deduction", "net_sales_amount",
+               "manufacturing_cost", "freight_cost", "other_cost", "ads_promotions",
+               "other_operational_expense")
+
+# Columns of the stored tables (partition column fiscal_year included), so a
+# read needs no schema inference.
+_K = [("date", "date"), ("product_code", "bigint"), ("customer_code", "bigint")]
+COLUMNS: dict[str, list[tuple[str, str]]] = {
+    "dim_customer": [("customer_code", "bigint"), ("customer", "string"), ("market", "string"),
+                     ("region", "string"), ("channel", "string")],
+    "dim_product": [("product_code", "bigint"), ("product", "string"), ("variant", "string"),
+                    ("segment", "string"), ("division", "string")],
+    "dim_date": [("date", "date")],
+    "fact_sales_monthly": _K + [("sold_quantity", "bigint"), ("fiscal_year", "int")],
+    "fact_forecast_monthly": _K + [("forecast_quantity", "bigint"), ("fiscal_year", "int")],
+    "fact_gross_price": [("product_code", "bigint"), ("gross_price", "decimal(15,4)"), ("fiscal_year", "int")],
+    "fact_pre_invoice_deductions": [("customer_code", "bigint"), ("pre_invoice_discount_pct", "decimal(5,4)"),
+                                    ("fiscal_year", "int")],
+    "fact_post_invoice_deductions": _K + [("discounts_pct", "decimal(5,4)"),
+                                          ("other_deductions_pct", "decimal(5,4)")],
+    "marketshare": [("category", "string"), ("manufacturer", "string"), ("sales", "decimal(25,2)"),
+                    ("total_market_sales", "decimal(25,2)"), ("fiscal_year", "int")],
+    "expenses": [("category", "string"), ("amount", "int"), ("expense_id", "bigint")],
+    "fact_actuals_estimates": [("date", "date"), ("customer_code", "bigint"), ("product_code", "bigint")]
+    + [(c, "string") for c in ("customer", "market", "region", "channel", "product", "segment", "division")]
+    + [("sold_quantity", "bigint")] + [(c, "decimal(20,2)") for c in _MONEY_COLS] + [("fiscal_year", "int")],
+    "ns_gm_target": [("market", "string"), ("ns_target", "decimal(24,2)"), ("gm_target", "decimal(24,2)"),
+                     ("np_target", "decimal(24,2)"), ("fiscal_year", "int")],
+    "pl_rows": [("ord", "int"), ("description", "string")],
+}
+SCHEMAS: dict[str, str] = {t: ", ".join(f"{c} {ty}" for c, ty in cols) for t, cols in COLUMNS.items()}
+TABLES = tuple(SCHEMAS)
+
 # Tables partitioned by fiscal_year when written.
 _FY_PARTITIONED = {"fact_sales_monthly", "fact_forecast_monthly", "fact_gross_price",
                    "fact_pre_invoice_deductions", "fact_actuals_estimates", "marketshare",
@@ -41,118 +76,193 @@ def _pct(c) -> F.Column:
     return c * F.lit(0.01).cast("decimal(3,2)")
 
 
-@dataclass
 class Star:
-    dim_customer: DataFrame
-    dim_product: DataFrame
-    dim_date: DataFrame
-    fact_sales_monthly: DataFrame
-    fact_forecast_monthly: DataFrame
-    fact_gross_price: DataFrame
-    fact_pre_invoice_deductions: DataFrame
-    fact_post_invoice_deductions: DataFrame
-    marketshare: DataFrame
-    expenses: DataFrame
-    fact_actuals_estimates: DataFrame
-    ns_gm_target: DataFrame
-    pl_rows: DataFrame
+    """Named tables of the star; each attribute is a DataFrame opened on first use."""
+
+    def __init__(self, loaders: dict[str, Callable[[], DataFrame]]):
+        missing = set(TABLES) - set(loaders)
+        if missing:
+            raise ValueError(f"missing tables: {sorted(missing)}")
+        object.__setattr__(self, "_loaders", dict(loaders))
+        object.__setattr__(self, "_frames", {})
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in TABLES:
+            raise AttributeError(name)
+        frames = self._frames
+        if name not in frames:
+            frames[name] = self._loaders[name]()
+        return frames[name]
+
+    def __setattr__(self, name: str, df: DataFrame) -> None:
+        if name not in TABLES:
+            raise AttributeError(name)
+        self._frames[name] = df
 
     # ------------------------------------------------------------------ build
     @classmethod
     def from_source(cls, spark: SparkSession, root: str) -> "Star":
         """Derive the star from the TPC-H-like tables under ``root`` (FIXTURES.md)."""
-        customer = read_table(spark, root, "customer", ["c_custkey", "c_nationkey", "c_mktsegment"])
-        nation = read_table(spark, root, "nation", ["n_nationkey", "n_name", "n_regionkey"])
-        region = read_table(spark, root, "region", ["r_regionkey", "r_name"])
-        part = read_table(spark, root, "part", ["p_partkey", "p_name", "p_brand", "p_type", "p_size",
-                                                "p_retailprice"])
-        orders = read_table(spark, root, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
-        lineitem = read_table(spark, root, "lineitem", ["l_orderkey", "l_partkey", "l_quantity",
-                                                        "l_extendedprice", "l_discount", "l_tax"])
-
-        dim_customer = (customer
-                        .join(nation, F.col("n_nationkey") == F.col("c_nationkey"))
-                        .join(region, F.col("r_regionkey") == F.col("n_regionkey"))
-                        .select(F.col("c_custkey").cast("bigint").alias("customer_code"),
-                                F.concat(F.lit("ACCT-"), (F.col("c_custkey") % 40).cast("string"))
-                                .alias("customer"),
-                                F.col("n_name").alias("market"),
-                                F.col("r_name").alias("region"),
-                                F.col("c_mktsegment").alias("channel")))
-        dim_product = part.select(F.col("p_partkey").alias("product_code"),
-                                  F.col("p_name").alias("product"),
-                                  F.col("p_type").alias("variant"),
-                                  F.col("p_type").alias("segment"),
-                                  F.col("p_brand").alias("division"))
-
-        lines = (lineitem.join(orders, F.col("o_orderkey") == F.col("l_orderkey"))
-                 .withColumn("date", F.trunc("o_orderdate", "month"))
-                 .withColumn("fiscal_year", fiscal_year("o_orderdate")))
-        # One aggregation feeds both monthly sales and post-invoice deductions:
-        # they share the (month, product, customer) grain.
-        monthly = (lines.groupBy("date", "fiscal_year", F.col("l_partkey").alias("product_code"),
-                                 F.col("o_custkey").alias("customer_code"))
-                   .agg(F.sum(F.col("l_quantity").cast("bigint")).cast("bigint").alias("sold_quantity"),
-                        F.min("l_discount").cast("decimal(5,4)").alias("discounts_pct"),
-                        F.min("l_tax").cast("decimal(5,4)").alias("other_deductions_pct")))
-        fact_sales_monthly = monthly.select("date", "fiscal_year", "product_code", "customer_code",
-                                            "sold_quantity")
-        fact_post = monthly.select("date", "product_code", "customer_code", "discounts_pct",
-                                   "other_deductions_pct")
-
-        # The set of fiscal years is one row (a global aggregate), so attaching
-        # it to every part / customer is a broadcast of a single row.
-        fy_set = orders.agg(F.array_sort(F.collect_set(fiscal_year("o_orderdate"))).alias("fy_set"))
-        fy_step = F.col("fiscal_year") - F.lit(1995)
-        fact_gross_price = (attach_row(part.select("p_partkey", "p_retailprice"), fy_set)
-                            .select(F.col("p_partkey").alias("product_code"),
-                                    F.explode("fy_set").alias("fiscal_year"), "p_retailprice")
-                            .filter((F.col("product_code") + F.col("fiscal_year")) % 97 != 0)
-                            .select("product_code", "fiscal_year",
-                                    _pct(F.col("p_retailprice").cast("decimal(15,4)")
-                                         * (F.lit(100) + F.lit(2) * fy_step))
-                                    .cast("decimal(15,4)").alias("gross_price")))
-        fact_pre = (attach_row(customer.select("c_custkey"), fy_set)
+        memo: dict[str, DataFrame] = {}
+
+        def once(key: str, make: Callable[[], DataFrame]) -> DataFrame:
+            if key not in memo:
+                memo[key] = make()
+            return memo[key]
+
+        def raw(name: str, cols: list[str]) -> DataFrame:
+            return once("raw:" + name, lambda: read_table(spark, root, name, cols))
+
+        def customer():
+            return raw("customer", ["c_custkey", "c_nationkey", "c_mktsegment"])
+
+        def part():
+            return raw("part", ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"])
+
+        def orders():
+            return raw("orders", ["o_orderkey", "o_custkey", "o_orderdate"])
+
+        def dim_customer():
+            nation = raw("nation", ["n_nationkey", "n_name", "n_regionkey"])
+            region = raw("region", ["r_regionkey", "r_name"])
+            return (customer()
+                    .join(nation, F.col("n_nationkey") == F.col("c_nationkey"))
+                    .join(region, F.col("r_regionkey") == F.col("n_regionkey"))
+                    .select(F.col("c_custkey").cast("bigint").alias("customer_code"),
+                            F.concat(F.lit("ACCT-"), (F.col("c_custkey") % 40).cast("string"))
+                            .alias("customer"),
+                            F.col("n_name").alias("market"),
+                            F.col("r_name").alias("region"),
+                            F.col("c_mktsegment").alias("channel")))
+
+        def dim_product():
+            return part().select(F.col("p_partkey").alias("product_code"), F.col("p_name").alias("product"),
+                                 F.col("p_type").alias("variant"), F.col("p_type").alias("segment"),
+                                 F.col("p_brand").alias("division"))
+
+        def lines():
+            def make():
+                lineitem = read_table(spark, root, "lineitem", ["l_orderkey", "l_partkey", "l_quantity",
+                                                                "l_extendedprice", "l_discount", "l_tax"])
+                return (lineitem.join(orders(), F.col("o_orderkey") == F.col("l_orderkey"))
+                        .withColumn("date", F.trunc("o_orderdate", "month"))
+                        .withColumn("fiscal_year", fiscal_year("o_orderdate")))
+            return once("lines", make)
+
+        def monthly():
+            # One aggregation feeds both monthly sales and post-invoice deductions:
+            # they share the (month, product, customer) grain.
+            return once("monthly", lambda: (
+                lines().groupBy("date", "fiscal_year", F.col("l_partkey").alias("product_code"),
+                                F.col("o_custkey").alias("customer_code"))
+                .agg(F.sum(F.col("l_quantity").cast("bigint")).cast("bigint").alias("sold_quantity"),
+                     F.min("l_discount").cast("decimal(5,4)").alias("discounts_pct"),
+                     F.min("l_tax").cast("decimal(5,4)").alias("other_deductions_pct"))))
+
+        def fy_set():
+            # The set of fiscal years is one row (a global aggregate), so attaching
+            # it to every part / customer is a broadcast of a single row.
+            return once("fy_set", lambda: orders().agg(
+                F.array_sort(F.collect_set(fiscal_year("o_orderdate"))).alias("fy_set")))
+
+        def fact_gross_price():
+            fy_step = F.col("fiscal_year") - F.lit(1995)
+            return (attach_row(part().select("p_partkey", "p_retailprice"), fy_set())
+                    .select(F.col("p_partkey").alias("product_code"),
+                            F.explode("fy_set").alias("fiscal_year"), "p_retailprice")
+                    .filter((F.col("product_code") + F.col("fiscal_year")) % 97 != 0)
+                    .select("product_code", "fiscal_year",
+                            _pct(F.col("p_retailprice").cast("decimal(15,4)")
+                                 * (F.lit(100) + F.lit(2) * fy_step))
+                            .cast("decimal(15,4)").alias("gross_price")))
+
+        def fact_pre():
+            return (attach_row(customer().select("c_custkey"), fy_set())
                     .select(F.col("c_custkey").alias("customer_code"),
                             F.explode("fy_set").alias("fiscal_year"))
                     .select("customer_code", "fiscal_year",
                             _pct(F.lit(5) + (F.col("customer_code") * 13 + F.col("fiscal_year")) % 21)
                             .cast("decimal(5,4)").alias("pre_invoice_discount_pct")))
 
-        fact_forecast = _forecast(fact_sales_monthly)
-        marketshare = _marketshare(lines, part)
-        expenses = part.select(F.col("p_type").alias("category"), F.col("p_size").alias("amount"),
-                               F.col("p_partkey").alias("expense_id"))
-        pl_rows = spark.createDataFrame(PL_ROWS, "ord int, description string")
-        dim_date = orders.select(F.to_date("o_orderdate").alias("date")).distinct()
-
-        star = cls(dim_customer=dim_customer, dim_product=dim_product, dim_date=dim_date,
-                   fact_sales_monthly=fact_sales_monthly, fact_forecast_monthly=fact_forecast,
-                   fact_gross_price=fact_gross_price, fact_pre_invoice_deductions=fact_pre,
-                   fact_post_invoice_deductions=fact_post, marketshare=marketshare,
-                   expenses=expenses, fact_actuals_estimates=None, ns_gm_target=None,
-                   pl_rows=pl_rows)
-        star.fact_actuals_estimates = _actuals_estimates(star)
-        star.ns_gm_target = _targets(star.fact_actuals_estimates)
+        star: Star
+
+        loaders = {
+            "dim_customer": dim_customer,
+            "dim_product": dim_product,
+            "dim_date": lambda: orders().select(F.to_date("o_orderdate").alias("date")).distinct(),
+            "fact_sales_monthly": lambda: monthly().select("date", "fiscal_year", "product_code",
+                                                           "customer_code", "sold_quantity"),
+            "fact_post_invoice_deductions": lambda: monthly().select(
+                "date", "product_code", "customer_code", "discounts_pct", "other_deductions_pct"),
+            "fact_forecast_monthly": lambda: _forecast(star.fact_sales_monthly),
+            "fact_gross_price": fact_gross_price,
+            "fact_pre_invoice_deductions": fact_pre,
+            "marketshare": lambda: _marketshare(lines(), part()),
+            "expenses": lambda: part().select(F.col("p_type").alias("category"),
+                                              F.col("p_size").alias("amount"),
+                                              F.col("p_partkey").alias("expense_id")),
+            "fact_actuals_estimates": lambda: _actuals_estimates(star),
+            "ns_gm_target": lambda: _targets(star.fact_actuals_estimates),
+            "pl_rows": lambda: spark.createDataFrame(PL_ROWS, SCHEMAS["pl_rows"]),
+        }
+        star = cls(loaders)
         return star
 
     # ------------------------------------------------------------------ io
     def write(self, path: str, mode: str = "overwrite") -> None:
         """Store every table as parquet; facts are partitioned by fiscal_year."""
-        for f in fields(self):
-            df: DataFrame = getattr(self, f.name)
+        self.write_tables(path, list(TABLES), mode)
+
+    def write_tables(self, path: str, names: list[str], mode: str = "overwrite") -> None:
+        for name in names:
+            df = getattr(self, name)
+            df = df.select(*[c for c, _ in COLUMNS[name]])
             writer = df.write.mode(mode)
-            if f.name in _FY_PARTITIONED:
+            if name in _FY_PARTITIONED:
                 writer = writer.partitionBy("fiscal_year")
-            writer.parquet(os.path.join(path, f.name))
+            writer.parquet(_table_dir(path, name))
+
+    @classmethod
+    def build(cls, spark: SparkSession, root: str, path: str) -> "Star":
+        """Derive the star from the source tables under ``root`` and store it at ``path``.
+
+        Stages are written in dependency order and each later stage reads the
+        stored tables of the earlier ones, so no table is recomputed and the
+        lineage of the long derivations is cut at every stage.
+        """
+        t = cls.from_source(spark, root)
+        first = ["dim_customer", "dim_product", "dim_date", "fact_sales_monthly",
+                 "fact_post_invoice_deductions", "fact_gross_price", "fact_pre_invoice_deductions",
+                 "marketshare", "expenses"]
+        t.write_tables(path, first)
+        stored = cls.read(spark, path)
+        for name in first:
+            setattr(t, name, getattr(stored, name))
+        t.write_tables(path, ["fact_forecast_monthly", "fact_actuals_estimates"])
+        t.fact_actuals_estimates = stored.fact_actuals_estimates
+        t.write_tables(path, ["ns_gm_target", "pl_rows"])  # pl_rows last: marks completion
+        return cls.read(spark, path)
 
     @classmethod
     def read(cls, spark: SparkSession, path: str) -> "Star":
-        """Read a star stored by ``write``; column order is normalised."""
-        tables = {}
-        for f in fields(cls):
-            tables[f.name] = spark.read.parquet(os.path.join(path, f.name))
-        return cls(**tables)
+        """A star stored by ``write``; tables are opened on first use, with fixed schemas."""
+        def loader(name: str) -> Callable[[], DataFrame]:
+            return lambda: spark.read.schema(SCHEMAS[name]).parquet(_table_dir(path, name))
+        return cls({name: loader(name) for name in TABLES})
+
+    @classmethod
+    def is_stored(cls, spark: SparkSession, path: str) -> bool:
+        """True when ``write`` completed at ``path`` (its last table has _SUCCESS)."""
+        return path_exists(spark, f"{_table_dir(path, TABLES[-1])}/_SUCCESS")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "Star":
+        """A stored star at ``path`` if there is one, else derived from the source tables there."""
+        return cls.read(spark, path) if cls.is_stored(spark, path) else cls.from_source(spark, path)
+
+
+def _table_dir(path: str, name: str) -> str:
+    return f"{path.rstrip('/')}/{name}"
 
 
 def _forecast(sales: DataFrame) -> DataFrame:

@@ -12,6 +12,8 @@ import time
 
 import duckdb
 
+STRICT = os.environ.get("STRICT") == "1"
+
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as entry  # noqa: E402
@@ -34,7 +36,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 6)
+        return v if STRICT else round(v, 6)
     if hasattr(v, "isoformat"):
         return v.isoformat()[:10] if len(v.isoformat()) >= 10 else v.isoformat()
     try:
@@ -58,7 +60,7 @@ def compare(spark, con, sf_dir, name):
     q = entry.queries()[name]
     sql = entry.oracle_sql().get(name)
     t0 = time.time()
-    sdf = q(spark, sf_dir)
+    sdf = q(spark, os.environ.get("SPARK_ROOT", sf_dir))
     srows = [tuple(r) for r in sdf.collect()]
     scols = sdf.columns
     st = time.time() - t0
