@@ -50,14 +50,18 @@ def net_invoice_sale() -> F.Column:
     return money(g - g * F.col("pre_invoice_discount_pct"))
 
 
-def with_post_invoice(pre: DataFrame, t, keep_components: bool = False) -> DataFrame:
+def with_post_invoice(pre: DataFrame, t, keep_components: bool = False,
+                      fiscal_year: int | None = None) -> DataFrame:
     """Net invoice sale plus the post-invoice discount fraction (discounts + other).
 
     The post-invoice table has the same (date, product, customer) grain as the
-    sales fact, so this is a fact-to-fact equi-join (shuffled; AQE splits
-    skewed partitions).
+    sales fact, so this is a fact-to-fact equi-join (shuffled when large; AQE
+    splits skewed partitions). When the fiscal year is known, the post-invoice
+    side is cut to that year's date range at the scan, before any shuffle.
     """
     post = t.fact_post_invoice_deductions
+    if fiscal_year is not None:
+        post = post.filter(fiscal_year_filter("date", fiscal_year))
     out = (pre.join(post, ["date", "product_code", "customer_code"])
            .withColumn("net_invoice_sale", net_invoice_sale())
            .withColumn("post_invoice_discount_pct",
@@ -76,7 +80,7 @@ def with_net_sales(post: DataFrame) -> DataFrame:
 def net_sales(t, fiscal_year: int | None = None, keep_components: bool = True) -> DataFrame:
     """All four layers composed; Catalyst prunes what the caller does not use."""
     pre = with_pre_invoice(gross_sales(t, fiscal_year), t)
-    return with_net_sales(with_post_invoice(pre, t, keep_components=keep_components))
+    return with_net_sales(with_post_invoice(pre, t, keep_components, fiscal_year))
 
 
 def net_invoice_sale_fy(t, fiscal_year: int) -> DataFrame:

@@ -16,7 +16,7 @@ STRICT = os.environ.get("STRICT") == "1"
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
+import __spark_entry__ as entry  # noqa: E402,F401
 from revlens.sources.raw import TABLES, table_path  # noqa: E402
 
 

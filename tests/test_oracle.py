@@ -1,0 +1,33 @@
+"""Every registered query against its DuckDB oracle, exact values (sf0.001)."""
+
+import os
+
+import pytest
+
+import __spark_entry__ as entry
+from oracle_compare import compare, duck
+
+SF = "/root/testdata/sf0.001"
+NAMES = sorted(entry.queries())
+
+
+@pytest.fixture(scope="module")
+def con():
+    return duck(SF)
+
+
+def test_every_query_has_an_oracle():
+    assert set(entry.queries()) == set(entry.oracle_sql())
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_query_matches_oracle(spark, con, name):
+    os.environ["STRICT"] = "1"
+    line = compare(spark, con, SF, name)
+    assert ": OK" in line, line
+
+
+def test_entry_smoke(spark):
+    df = entry.entry(spark)
+    assert df.columns == ["customer", "net_sales_mln"]
+    assert df.count() > 0
