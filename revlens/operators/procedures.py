@@ -1,0 +1,27 @@
+"""The parameterised report procedures as plain functions of a star.
+
+Each returns the same lazy DataFrame as the corresponding operator; the
+names follow the procedures the reports were originally called through.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from revlens.operators.finance import monthly_gross_sales
+from revlens.operators.forecast import forecast_accuracy
+
+
+def get_monthly_gross_sales_for_customer(t, c_code: int) -> DataFrame:
+    """Monthly gross sales of one customer (date, monthly_sales)."""
+    return monthly_gross_sales(t, int(c_code))
+
+
+def get_monthly_gross_sales_for_customer_multi(t, in_customer_codes: str) -> DataFrame:
+    """Monthly gross sales summed over a comma-separated list of customer codes."""
+    return monthly_gross_sales(t, str(in_customer_codes))
+
+
+def get_forecast_accuracy(t, in_fiscal_year: int, null_policy: str = "propagate") -> DataFrame:
+    """Forecast accuracy report per customer for one fiscal year."""
+    return forecast_accuracy(t, int(in_fiscal_year), null_policy)
