@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from revlens.functions.arith import divide
 from revlens.operators.output import decimals_to_double
 from revlens.plans.joins import attach_row
+from revlens.plans.periods import with_prior_period
 
 # output name -> fact column
 BASE = {
@@ -96,18 +97,10 @@ def measures_with_prior(fact: DataFrame, dims: list[str], fiscal_year: int,
 
 def with_last_year(agg: DataFrame, dims: list[str], period: str = "fiscal_year",
                    columns: list[str] | None = None) -> DataFrame:
-    """Add ``<col>_ly`` = the value of the same dims one year earlier.
-
-    Calendar shift (fiscal_year + 1, or date + 12 months) of the aggregate,
-    left-joined on all dims; missing prior periods give NULL.
-    """
-    if period not in dims:
-        raise ValueError(f"dims must contain the period column {period!r}")
+    """Add ``<col>_ly`` = the value of the same dims one year earlier (calendar
+    shift; a missing prior period gives NULL). See ``plans.periods``."""
     columns = columns or [c for c in agg.columns if c not in dims]
-    shifted = (F.col(period) + 1) if period == "fiscal_year" else F.add_months(F.col(period), 12)
-    prior = agg.select(*[c for c in dims if c != period], shifted.alias(period),
-                       *[F.col(c).alias(f"{c}_ly") for c in columns])
-    return agg.join(prior, dims, "left")
+    return with_prior_period(agg, dims, period, columns)
 
 
 def measures_ly(fact: DataFrame, dims: list[str], period: str = "fiscal_year",

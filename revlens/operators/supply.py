@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlens.functions.arith import blank_sub, divide
+from revlens.plans.periods import with_prior_period
 
 _CUSTOMER_ATTRS = {"customer", "market", "region", "channel"}
 _PRODUCT_ATTRS = {"product", "variant", "segment", "division"}
@@ -81,16 +82,11 @@ def forecast_measures_ly(t, dims: list[str], period: str = "fiscal_year", cutoff
     """Measures plus their same-period-last-year values (``*_ly`` columns).
 
     ``dims`` must contain ``period`` (``fiscal_year``, or ``date`` for months).
-    The prior period is the same aggregate shifted forward one year and
-    left-joined on all dims (a calendar shift, so gaps give NULL, not the
-    previous row). Both sides read one aggregate; Spark reuses its exchange.
+    The prior period comes from the same aggregate shifted one year forward
+    (a calendar shift, so gaps give NULL, not the previous row), merged in
+    without a self-join (``plans.periods``).
     """
-    if period not in dims:
-        raise ValueError(f"dims must contain the period column {period!r}")
     sums = forecast_sums(t, dims, cutoff)
-    shifted = (F.col(period) + 1) if period == "fiscal_year" else F.add_months(F.col(period), 12)
-    prior = sums.select(*[c for c in dims if c != period], shifted.alias(period),
-                        *[F.col(c).alias(f"{c}_ly") for c in ("forecast_qty", "actual_qty", "abs_error")])
-    both = sums.join(prior, dims, "left")
+    both = with_prior_period(sums, dims, period, ["forecast_qty", "actual_qty", "abs_error"])
     both = derive_forecast(both, perfect_as_one=perfect_as_one)
     return derive_forecast(both, suffix="_ly", perfect_as_one=perfect_as_one)
