@@ -150,14 +150,16 @@ class Star:
             return once("lines", make)
 
         def monthly():
-            # One aggregation feeds both monthly sales and post-invoice deductions:
-            # they share the (month, product, customer) grain.
+            # One aggregation of the order lines feeds monthly sales, post-invoice
+            # deductions and market share: they share the (month, product,
+            # customer) grain, and decimal sums can be summed again exactly.
             return once("monthly", lambda: (
                 lines().groupBy("date", "fiscal_year", F.col("l_partkey").alias("product_code"),
                                 F.col("o_custkey").alias("customer_code"))
                 .agg(F.sum(F.col("l_quantity").cast("bigint")).cast("bigint").alias("sold_quantity"),
                      F.min("l_discount").cast("decimal(5,4)").alias("discounts_pct"),
-                     F.min("l_tax").cast("decimal(5,4)").alias("other_deductions_pct"))))
+                     F.min("l_tax").cast("decimal(5,4)").alias("other_deductions_pct"),
+                     F.sum(F.col("l_extendedprice").cast("decimal(15,2)")).alias("extended_price"))))
 
         def fy_set():
             # The set of fiscal years is one row (a global aggregate), so attaching
@@ -190,14 +192,12 @@ class Star:
             "dim_customer": dim_customer,
             "dim_product": dim_product,
             "dim_date": lambda: orders().select(F.to_date("o_orderdate").alias("date")).distinct(),
-            "fact_sales_monthly": lambda: monthly().select("date", "fiscal_year", "product_code",
-                                                           "customer_code", "sold_quantity"),
-            "fact_post_invoice_deductions": lambda: monthly().select(
-                "date", "product_code", "customer_code", "discounts_pct", "other_deductions_pct"),
+            "fact_sales_monthly": lambda: _sales_of(monthly()),
+            "fact_post_invoice_deductions": lambda: _post_of(monthly()),
             "fact_forecast_monthly": lambda: _forecast(star.fact_sales_monthly),
             "fact_gross_price": fact_gross_price,
             "fact_pre_invoice_deductions": fact_pre,
-            "marketshare": lambda: _marketshare(lines(), part()),
+            "marketshare": lambda: _marketshare(monthly(), part()),
             "expenses": lambda: part().select(F.col("p_type").alias("category"),
                                               F.col("p_size").alias("amount"),
                                               F.col("p_partkey").alias("expense_id")),
@@ -206,6 +206,8 @@ class Star:
             "pl_rows": lambda: spark.createDataFrame(PL_ROWS, SCHEMAS["pl_rows"]),
         }
         star = cls(loaders)
+        object.__setattr__(star, "_monthly", monthly)
+        object.__setattr__(star, "_part", part)
         return star
 
     # ------------------------------------------------------------------ io
@@ -231,6 +233,13 @@ class Star:
         lineage of the long derivations is cut at every stage.
         """
         t = cls.from_source(spark, root)
+        # the order-line aggregate is staged once; three tables are cut from it
+        staged = f"{path.rstrip('/')}/_staging_monthly"
+        t._monthly().write.mode("overwrite").parquet(staged)
+        monthly = spark.read.parquet(staged)
+        t.fact_sales_monthly = _sales_of(monthly)
+        t.fact_post_invoice_deductions = _post_of(monthly)
+        t.marketshare = _marketshare(monthly, t._part())
         first = ["dim_customer", "dim_product", "dim_date", "fact_sales_monthly",
                  "fact_post_invoice_deductions", "fact_gross_price", "fact_pre_invoice_deductions",
                  "marketshare", "expenses"]
@@ -285,13 +294,21 @@ def _forecast(sales: DataFrame) -> DataFrame:
     return on_time.unionByName(late)
 
 
-def _marketshare(lines: DataFrame, part: DataFrame) -> DataFrame:
-    by_brand = (lines.join(part.select("p_partkey", "p_type", "p_brand"),
-                           F.col("p_partkey") == F.col("l_partkey"))
+def _sales_of(monthly: DataFrame) -> DataFrame:
+    return monthly.select("date", "fiscal_year", "product_code", "customer_code", "sold_quantity")
+
+
+def _post_of(monthly: DataFrame) -> DataFrame:
+    return monthly.select("date", "product_code", "customer_code", "discounts_pct", "other_deductions_pct")
+
+
+def _marketshare(monthly: DataFrame, part: DataFrame) -> DataFrame:
+    """Sales per fiscal year x category x manufacturer and the category total."""
+    by_brand = (monthly.join(part.select("p_partkey", "p_type", "p_brand"),
+                             F.col("p_partkey") == F.col("product_code"))
                 .groupBy("fiscal_year", F.col("p_type").alias("category"),
                          F.col("p_brand").alias("manufacturer"))
-                .agg(F.sum(F.col("l_extendedprice").cast("decimal(15,2)")).cast("decimal(25,2)")
-                     .alias("sales")))
+                .agg(F.sum("extended_price").cast("decimal(25,2)").alias("sales")))
     totals = (by_brand.groupBy("fiscal_year", "category")
               .agg(F.sum("sales").cast("decimal(25,2)").alias("total_market_sales")))
     return by_brand.join(totals, ["fiscal_year", "category"])
