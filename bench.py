@@ -12,10 +12,12 @@ Prints one JSON line.
 
 from __future__ import annotations
 
+import glob
 import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 import uuid
 
@@ -36,13 +38,60 @@ def _timed(fn) -> float:
     return time.perf_counter() - t0
 
 
+def _lines(path: str):
+    """Lines of an event log file (plain, or zstd as Spark writes by default)."""
+    if path.endswith(".zstd"):
+        import io
+
+        import zstandard
+        with open(path, "rb") as fh:
+            reader = zstandard.ZstdDecompressor().stream_reader(fh, read_across_frames=True)
+            yield from io.TextIOWrapper(reader, encoding="utf-8")
+    else:
+        with open(path, encoding="utf-8") as fh:
+            yield from fh
+
+
+def shuffle_bytes_by_group(event_dir: str) -> dict[str, int]:
+    """Shuffle bytes written per job group, summed from Spark's event log."""
+    stage_group: dict[int, str] = {}
+    written: dict[int, int] = {}
+    for path in sorted(glob.glob(os.path.join(event_dir, "**", "*"), recursive=True)):
+        name = os.path.basename(path)
+        if not os.path.isfile(path) or name.startswith((".", "appstatus")):
+            continue
+        for line in _lines(path):
+            if line.strip():
+                ev = json.loads(line)
+                kind = ev.get("Event")
+                if kind == "SparkListenerJobStart":
+                    group = (ev.get("Properties") or {}).get("spark.jobGroup.id")
+                    if group:
+                        for sid in ev.get("Stage IDs", []):
+                            stage_group[sid] = group
+                elif kind == "SparkListenerTaskEnd":
+                    m = (ev.get("Task Metrics") or {}).get("Shuffle Write Metrics") or {}
+                    sid = ev.get("Stage ID")
+                    written[sid] = written.get(sid, 0) + int(m.get("Shuffle Bytes Written", 0))
+    out: dict[str, int] = {}
+    for sid, b in written.items():
+        g = stage_group.get(sid)
+        if g:
+            out[g] = out.get(g, 0) + b
+    return out
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
+    event_dir = os.environ.get("BENCH_EVENT_DIR") or tempfile.mkdtemp(prefix="revlens-events-")
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2),
-                          app_name="revlens-bench", extra={"spark.driver.memory": "16g"})
+                          app_name="revlens-bench",
+                          extra={"spark.driver.memory": "16g", "spark.eventLog.enabled": "true",
+                                 "spark.eventLog.dir": event_dir})
+    sc = spark.sparkContext
     star_dir = os.path.join(ensure_checkpoint_dir(spark), f"star-{uuid.uuid4().hex[:8]}")
 
     build = _timed(lambda: Star.build(spark, sf_dir, star_dir))
@@ -50,15 +99,21 @@ def main() -> None:
     for name, q in QUERIES.items():
         if only and name not in only:
             continue
+        sc.setJobGroup(name, name)
         _force(q(spark, star_dir))  # warm-up
         times[name] = round(statistics.median(_timed(lambda: _force(q(spark, star_dir)))
                                               for _ in range(runs)), 3)
+    sc.setJobGroup("flagship_from_source", "flagship_from_source")
     # the flagship end to end from the source tables, star derivation included
     flagship = QUERIES["net_sales_by_customer"]
     _force(flagship(spark, sf_dir))
     from_source = round(statistics.median(_timed(lambda: _force(flagship(spark, sf_dir)))
                                           for _ in range(runs)), 3)
     sf = os.path.basename(os.path.normpath(sf_dir)).replace("sf", "")
+    version, parts = spark.version, spark.conf.get("spark.sql.shuffle.partitions")
+    spark.stop()  # flushes the event log
+    per_group = shuffle_bytes_by_group(event_dir)
+    shuffle = {n: per_group.get(n, 0) // (runs + 1) for n in times}
     print(json.dumps({
         "metric": "sum_of_query_median_seconds",
         "value": round(sum(times.values()), 3),
@@ -69,10 +124,11 @@ def main() -> None:
         "flagship_from_source_sec": from_source,
         "cpus": cpus,
         "runs": runs,
-        "spark": spark.version,
-        "shuffle_partitions": spark.conf.get("spark.sql.shuffle.partitions"),
+        "spark": version,
+        "shuffle_partitions": parts,
+        "shuffle_bytes_per_run": shuffle,
+        "memory": "spark.driver.memory=16g (local mode: one JVM)",
     }))
-    spark.stop()
 
 
 if __name__ == "__main__":
