@@ -42,6 +42,13 @@ def actual_vs_forecast(sales: DataFrame, forecast: DataFrame,
                     "product_code", "customer_code", "sold_quantity", "forecast_quantity"))
 
 
+def key_duplicates(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """Keys occurring more than once (lazy). ``actual_vs_forecast`` equals the
+    "left joins + UNION" form only when this is empty on both inputs."""
+    keys = keys or KEYS
+    return df.groupBy(*keys).count().filter(F.col("count") > 1)
+
+
 def _quantities(null_policy: str) -> tuple[Column, Column]:
     sold, fc = F.col("sold_quantity"), F.col("forecast_quantity")
     if null_policy == "zero":
