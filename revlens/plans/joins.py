@@ -1,4 +1,4 @@
-"""Join helpers whose broadcast side has a size bound known from the plan itself."""
+"""Attaching totals: one-row aggregates as scalar subqueries, group totals as joins."""
 
 from __future__ import annotations
 
@@ -10,11 +10,17 @@ def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Append the columns of a single-row frame to every row of ``df``.
 
     ``one_row`` must be a global aggregate (``df.agg(...)`` with no grouping),
-    which always yields exactly one row, so broadcasting it is bounded by
-    construction and the join is linear in ``df``. This replaces
+    which always yields exactly one row. It is attached as one scalar
+    subquery (packed into a struct so it runs once): computed first, then
+    used as a constant by every task, so there is no join at all and Spark
+    fails the query if the input ever had more than one row. This replaces
     ``SUM(x) OVER ()``, which Spark runs as a single-partition window.
     """
-    return df.crossJoin(F.broadcast(one_row))
+    cols = one_row.columns
+    packed = one_row.select(F.struct(*cols).alias("__row")).scalar()
+    return (df.withColumn("__row", packed)
+            .withColumns({c: F.col("__row").getField(c) for c in cols})
+            .drop("__row"))
 
 
 def join_totals(df: DataFrame, totals: DataFrame, keys: list[str]) -> DataFrame:
