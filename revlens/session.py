@@ -55,3 +55,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="revlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def scale_conf(shuffle_bytes: int, total_cores: int,
+               partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Shuffle and scan sizing for a cluster run (pass to the session builder).
+
+    ``shuffle_bytes`` is the largest expected shuffle of the job -- for these
+    reports the fact-to-fact join of one or two fiscal years (sales and
+    post-invoice rows, ~60 bytes each after column pruning), since every
+    aggregation is partial before its shuffle. Partitions are sized so one
+    fits comfortably in a task's memory share; AQE starts from that count and
+    coalesces small partitions, and splits skewed ones above 4x the median.
+    """
+    initial = max(total_cores * 2, -(-shuffle_bytes // partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+    }
