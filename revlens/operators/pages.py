@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlens.functions.arith import divide
-from revlens.operators.measures import (base_sums, measures, measures_with_prior, with_derived,
-                                        with_targets)
+from revlens.operators.measures import BASE, measures, measures_with_prior, with_derived, with_targets
 from revlens.operators.output import decimals_to_double
 from revlens.plans.joins import attach_row
 
@@ -16,7 +15,9 @@ def performance_matrix(fact: DataFrame, dims: list[str], fiscal_year: int) -> Da
     """Net sales and GM % per group next to the overall GM % of the year."""
     fy = fact.filter(F.col("fiscal_year") == fiscal_year)
     groups = measures(fy, dims)
-    overall = with_derived(fy.agg(*base_sums())).select(
+    # the overall figure sums the group sums (exact decimals), so it reuses the
+    # group aggregate instead of scanning the fact a second time
+    overall = with_derived(groups.agg(*[F.sum(c).alias(c) for c in BASE])).select(
         F.col("gross_margin_pct").alias("overall_gross_margin_pct"))
     out = (attach_row(groups, overall)
            .withColumn("gm_pct_vs_overall", F.col("gross_margin_pct") - F.col("overall_gross_margin_pct"))
@@ -40,7 +41,7 @@ def revenue_split(fact: DataFrame, dims: list[str], fiscal_year: int) -> DataFra
     """Net sales per group and its share of the year's total (DIVIDE semantics)."""
     fy = fact.filter(F.col("fiscal_year") == fiscal_year)
     groups = fy.groupBy(*dims).agg(F.sum("net_sales_amount").alias("net_sales"))
-    total = fy.agg(F.sum("net_sales_amount").alias("total_net_sales"))
+    total = groups.agg(F.sum("net_sales").alias("total_net_sales"))
     out = (attach_row(groups, total)
            .withColumn("share", divide("net_sales", "total_net_sales", 0))
            .select(*dims, "net_sales", "share"))
