@@ -17,24 +17,30 @@ _CUSTOMER_ATTRS = ["customer", "market", "region", "channel"]
 _PRODUCT_ATTRS = ["product", "variant", "segment", "division"]
 
 
-def gross_sales(t, fiscal_year: int | None = None) -> DataFrame:
+def _sales(t, fiscal_year: int | None) -> DataFrame:
+    sales = t.fact_sales_monthly
+    if fiscal_year is not None:
+        sales = sales.filter(F.col("fiscal_year") == fiscal_year)
+    return sales
+
+
+def gross_sales(t, fiscal_year: int | None = None, sales: DataFrame | None = None,
+                extra: tuple[str, ...] = ()) -> DataFrame:
     """Sales lines priced at the fiscal year's gross price (inner joins: a sale
     without a price row, customer or product is dropped).
 
     Columns: date, fiscal_year, customer_code, product_code, customer, market,
     region, channel, product, variant, segment, division, sold_quantity,
-    gross_price_per_item, gross_price_total.
+    gross_price_per_item, gross_price_total (plus ``extra`` columns of ``sales``).
     """
-    sales = t.fact_sales_monthly
-    if fiscal_year is not None:
-        sales = sales.filter(F.col("fiscal_year") == fiscal_year)
+    sales = sales if sales is not None else _sales(t, fiscal_year)
     joined = (sales
               .join(t.fact_gross_price, ["product_code", "fiscal_year"])
               .join(t.dim_product, "product_code")
               .join(t.dim_customer, "customer_code"))
     return joined.select(
         "date", "fiscal_year", "customer_code", "product_code", *_CUSTOMER_ATTRS, *_PRODUCT_ATTRS,
-        "sold_quantity",
+        "sold_quantity", *extra,
         F.col("gross_price").alias("gross_price_per_item"),
         money(F.col("gross_price") * F.col("sold_quantity")).alias("gross_price_total"))
 
@@ -78,9 +84,26 @@ def with_net_sales(post: DataFrame) -> DataFrame:
 
 
 def net_sales(t, fiscal_year: int | None = None, keep_components: bool = True) -> DataFrame:
-    """All four layers composed; Catalyst prunes what the caller does not use."""
-    pre = with_pre_invoice(gross_sales(t, fiscal_year), t)
-    return with_net_sales(with_post_invoice(pre, t, keep_components, fiscal_year))
+    """All four layers composed; Catalyst prunes what the caller does not use.
+
+    The fact-to-fact post-invoice join is done first, straight on the two
+    fact scans: when both facts are bucketed on (date, product, customer)
+    (``Star.save_tables``) it needs no shuffle, and the dimension joins that
+    follow are broadcasts or keep the key partitioning. Inner joins commute,
+    so the rows equal the layer-by-layer composition.
+    """
+    post = t.fact_post_invoice_deductions
+    if fiscal_year is not None:
+        post = post.filter(fiscal_year_filter("date", fiscal_year))
+    base = _sales(t, fiscal_year).join(post, ["date", "product_code", "customer_code"])
+    gs = gross_sales(t, sales=base, extra=("discounts_pct", "other_deductions_pct"))
+    out = (with_pre_invoice(gs, t)
+           .withColumn("net_invoice_sale", net_invoice_sale())
+           .withColumn("post_invoice_discount_pct",
+                       (F.col("discounts_pct") + F.col("other_deductions_pct")).cast("decimal(5,4)")))
+    if not keep_components:
+        out = out.drop("discounts_pct", "other_deductions_pct")
+    return with_net_sales(out)
 
 
 def net_invoice_sale_fy(t, fiscal_year: int) -> DataFrame:

@@ -65,6 +65,10 @@ COLUMNS: dict[str, list[tuple[str, str]]] = {
 SCHEMAS: dict[str, str] = {t: ", ".join(f"{c} {ty}" for c, ty in cols) for t, cols in COLUMNS.items()}
 TABLES = tuple(SCHEMAS)
 
+# Facts of the (date, product, customer) grain, bucketed alike by save_tables.
+_SAME_GRAIN = ("fact_sales_monthly", "fact_forecast_monthly", "fact_post_invoice_deductions")
+BUCKET_KEY = ("date", "product_code", "customer_code")
+
 # Tables partitioned by fiscal_year when written.
 _FY_PARTITIONED = {"fact_sales_monthly", "fact_forecast_monthly", "fact_gross_price",
                    "fact_pre_invoice_deductions", "fact_actuals_estimates", "marketshare",
@@ -265,6 +269,41 @@ class Star:
             return lambda: spark.read.schema(SCHEMAS[name]).parquet(_table_dir(path, name))
         return cls({name: loader(name) for name in TABLES})
 
+    def save_tables(self, spark: SparkSession, database: str, buckets: int,
+                    location: str | None = None, mode: str = "overwrite") -> None:
+        """Save every table as a catalog table; the same-grain facts are bucketed.
+
+        Sales, forecast and post-invoice facts share the (date, product,
+        customer) grain and are joined on it. Bucketing all three into the
+        same number of buckets on that key lets Spark join them bucket by
+        bucket with no shuffle. Rows are hash-distributed on the bucket key
+        before writing, so each bucket of each fiscal-year partition is one
+        file. ``location`` places the database (e.g. on the shared file
+        system); otherwise the session's warehouse folder is used.
+        """
+        loc = f" LOCATION '{location}'" if location else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{loc}")
+        for name in TABLES:
+            cols = [c for c, _ in COLUMNS[name]]
+            df = getattr(self, name).select(*cols)
+            writer = None
+            if name in _SAME_GRAIN:
+                df = df.repartition(buckets, *BUCKET_KEY)
+                writer = (df.write.mode(mode).format("parquet").bucketBy(buckets, *BUCKET_KEY)
+                          .sortBy(*BUCKET_KEY))
+            else:
+                writer = df.write.mode(mode).format("parquet")
+            if name in _FY_PARTITIONED:
+                writer = writer.partitionBy("fiscal_year")
+            writer.saveAsTable(f"{database}.{name}")
+
+    @classmethod
+    def from_catalog(cls, spark: SparkSession, database: str) -> "Star":
+        """A star saved with ``save_tables`` (bucketing comes from the catalog)."""
+        def loader(name: str) -> Callable[[], DataFrame]:
+            return lambda: spark.table(f"{database}.{name}")
+        return cls({name: loader(name) for name in TABLES})
+
     @classmethod
     def is_stored(cls, spark: SparkSession, path: str) -> bool:
         """True when ``write`` completed at ``path`` (its last table has _SUCCESS)."""
