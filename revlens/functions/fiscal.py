@@ -12,7 +12,7 @@ import datetime as _dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-FY_START_MONTH = 9
+from revlens.fixed_values import FY_START_MONTH  # noqa: F401  (re-exported)
 
 
 def _shift(start_month: int) -> int:

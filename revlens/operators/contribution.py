@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from revlens.fixed_values import MILLION, MONEY_DIGITS
 from revlens.functions.arith import round_ratio, sql_div
 from revlens.operators.waterfall import gross_sales, net_sales
 from revlens.plans.joins import join_totals
 
 
 def sales_by(df: DataFrame, dims: list[str], value: str = "net_sales", fiscal_year: int | None = None,
-             unit: int = 1_000_000, digits: int = 2, alias: str | None = None) -> DataFrame:
+             unit: int = MILLION, digits: int = MONEY_DIGITS, alias: str | None = None) -> DataFrame:
     """ROUND(SUM(value) / unit, digits) grouped by ``dims`` (DECIMAL result).
 
     The sum is exact; the quotient is fixed at 10 decimals before rounding.

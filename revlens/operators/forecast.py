@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from revlens.fixed_values import (ABS_ERROR_PCT_DIGITS, ACCURACY_CAP_PCT, ACCURACY_DIGITS,
+                                   NET_ERROR_PCT_DIGITS)
 from revlens.functions.arith import round_ratio, sql_div
 
 KEYS = ["date", "customer_code", "product_code"]
@@ -81,8 +83,8 @@ def _pct(num: str, den: str, digits: int) -> Column:
 
 def accuracy_from(abs_error_pct: Column) -> Column:
     """0 when the error exceeds 100 %, else ROUND(100 - pct, 2); NULL stays NULL."""
-    return (F.when(abs_error_pct > 100, F.lit(0))
-            .otherwise(F.round(F.lit(100.0).cast("decimal(4,1)") - abs_error_pct, 2)))
+    return (F.when(abs_error_pct > ACCURACY_CAP_PCT, F.lit(0))
+            .otherwise(F.round(F.lit(100.0).cast("decimal(4,1)") - abs_error_pct, ACCURACY_DIGITS)))
 
 
 def forecast_accuracy(t, fiscal_year: int, null_policy: str = "propagate") -> DataFrame:
@@ -94,8 +96,8 @@ def forecast_accuracy(t, fiscal_year: int, null_policy: str = "propagate") -> Da
     """
     ae = actual_vs_forecast(t.fact_sales_monthly, t.fact_forecast_monthly, [fiscal_year])
     per_customer = (ae.groupBy("customer_code").agg(*error_sums(null_policy))
-                    .withColumn("net_error_pct", _pct("net_error", "total_forecast_quantity", 1))
-                    .withColumn("abs_error_pct", _pct("abs_error", "total_forecast_quantity", 2)))
+                    .withColumn("net_error_pct", _pct("net_error", "total_forecast_quantity", NET_ERROR_PCT_DIGITS))
+                    .withColumn("abs_error_pct", _pct("abs_error", "total_forecast_quantity", ABS_ERROR_PCT_DIGITS)))
     out = (per_customer.join(t.dim_customer.select("customer_code", "customer", "market"),
                              "customer_code")
            .withColumn("forecast_accuracy", accuracy_from(F.col("abs_error_pct")))
@@ -118,8 +120,8 @@ def accuracy_decline(t, fy_before: int, fy_after: int, null_policy: str = "propa
             + error_sums(null_policy, F.col("fiscal_year") == fy_after, "_a"))
     acc_b, acc_a = f"forecast_acc_{fy_before}", f"forecast_acc_{fy_after}"
     per_customer = (ae.groupBy("customer_code").agg(*aggs)
-                    .withColumn(acc_b, accuracy_from(_pct("abs_error_b", "total_forecast_quantity_b", 2)))
-                    .withColumn(acc_a, accuracy_from(_pct("abs_error_a", "total_forecast_quantity_a", 2)))
+                    .withColumn(acc_b, accuracy_from(_pct("abs_error_b", "total_forecast_quantity_b", ABS_ERROR_PCT_DIGITS)))
+                    .withColumn(acc_a, accuracy_from(_pct("abs_error_a", "total_forecast_quantity_a", ABS_ERROR_PCT_DIGITS)))
                     .filter(F.col(acc_a) < F.col(acc_b)))
     out = (per_customer.join(t.dim_customer.select("customer_code", F.col("customer").alias("customer_name"),
                                                    "market"), "customer_code")

@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from revlens.functions.arith import divide
 from revlens.operators.measures import measures_with_prior, with_targets
+from revlens.fixed_values import MILLION, PL_TARGET_LINES, PL_TOTAL_LABEL
 from revlens.operators.output import decimals_to_double
 
-MLN = 1_000_000.0
+MLN = float(MILLION)
 
 
 def _d(name: str) -> Column:
@@ -55,10 +56,11 @@ def target_values() -> list[Column]:
     """Target of each line item: only net sales, gross margin, GM % and NP % have one."""
     none = F.lit(None).cast("double")
     vals = [none] * 17
-    vals[6] = _d("ns_target") / MLN
-    vals[11] = _d("gm_target") / MLN
-    vals[12] = F.col("gross_margin_pct_target") * 100
-    vals[16] = F.col("net_profit_pct_target") * 100
+    targets = {7: _d("ns_target") / MLN, 12: _d("gm_target") / MLN,
+               13: F.col("gross_margin_pct_target") * 100, 17: F.col("net_profit_pct_target") * 100}
+    assert set(targets) == set(PL_TARGET_LINES)
+    for line, value in targets.items():
+        vals[line - 1] = value
     return vals
 
 
@@ -80,7 +82,7 @@ def _lines(values: list[Column], bms: list[Column] | None, total: Column,
 def _describe(long: DataFrame, t) -> DataFrame:
     labels = F.broadcast(t.pl_rows)  # 17 fixed rows
     return (long.join(labels, "ord", "left")
-            .withColumn("description", F.coalesce("description", F.lit("Total"))))
+            .withColumn("description", F.coalesce("description", F.lit(PL_TOTAL_LABEL))))
 
 
 def pl_rows(fact: DataFrame, t, dims: list[str], fiscal_year: int | None = None) -> DataFrame:

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from revlens.fixed_values import RISK_EXCESS_INVENTORY, RISK_OUT_OF_STOCK
 from revlens.functions.arith import blank_sub, divide
 from revlens.plans.periods import with_prior_period
 
@@ -69,7 +70,7 @@ def derive_forecast(df: DataFrame, suffix: str = "", perfect_as_one: bool = Fals
             .withColumn(f"net_error_pct{suffix}", divide(ne, fq, 0))
             .withColumn(f"abs_error_pct{suffix}", ae_pct)
             .withColumn(f"forecast_accuracy_pct{suffix}", F.when(keep, F.lit(1.0) - ae_pct))
-            .withColumn(f"risk{suffix}", F.when(ne > 0, F.lit("EI")).when(ne < 0, F.lit("OOS"))))
+            .withColumn(f"risk{suffix}", F.when(ne > 0, F.lit(RISK_EXCESS_INVENTORY)).when(ne < 0, F.lit(RISK_OUT_OF_STOCK))))
 
 
 def forecast_measures(t, dims: list[str], cutoff=None, perfect_as_one: bool = False) -> DataFrame:

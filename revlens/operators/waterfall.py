@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from revlens.fixed_values import POST_INVOICE_PCT_DIGITS
 from revlens.functions.arith import money
 from revlens.functions.fiscal import fiscal_year_filter
 
@@ -56,6 +57,12 @@ def net_invoice_sale() -> F.Column:
     return money(g - g * F.col("pre_invoice_discount_pct"))
 
 
+def post_invoice_pct() -> F.Column:
+    """ROUND(discounts_pct + other_deductions_pct, 4) as DECIMAL(5,4)."""
+    total = F.col("discounts_pct") + F.col("other_deductions_pct")
+    return F.round(total, POST_INVOICE_PCT_DIGITS).cast("decimal(5,4)")
+
+
 def with_post_invoice(pre: DataFrame, t, keep_components: bool = False,
                       fiscal_year: int | None = None) -> DataFrame:
     """Net invoice sale plus the post-invoice discount fraction (discounts + other).
@@ -71,7 +78,7 @@ def with_post_invoice(pre: DataFrame, t, keep_components: bool = False,
     out = (pre.join(post, ["date", "product_code", "customer_code"])
            .withColumn("net_invoice_sale", net_invoice_sale())
            .withColumn("post_invoice_discount_pct",
-                       (F.col("discounts_pct") + F.col("other_deductions_pct")).cast("decimal(5,4)")))
+                       post_invoice_pct()))
     if not keep_components:
         out = out.drop("discounts_pct", "other_deductions_pct")
     return out
@@ -100,7 +107,7 @@ def net_sales(t, fiscal_year: int | None = None, keep_components: bool = True) -
     out = (with_pre_invoice(gs, t)
            .withColumn("net_invoice_sale", net_invoice_sale())
            .withColumn("post_invoice_discount_pct",
-                       (F.col("discounts_pct") + F.col("other_deductions_pct")).cast("decimal(5,4)")))
+                       post_invoice_pct()))
     if not keep_components:
         out = out.drop("discounts_pct", "other_deductions_pct")
     return with_net_sales(out)

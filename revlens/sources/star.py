@@ -20,16 +20,7 @@ from revlens.functions.fiscal import fiscal_year
 from revlens.plans.joins import attach_row
 from revlens.sources.raw import path_exists, read_table
 
-# Fixed values of the test fixtures (FIXTURES.md): the P&L line items in
-# their display order.
-PL_ROWS = [
-    (1, "Gross Sales"), (2, "Pre Invoice Deduction"), (3, "Net Invoice Sales"),
-    (4, "Post Invoice Deduction"), (5, "Post Invoice Other Deduction"),
-    (6, "Total Post Invoice Deduction"), (7, "Net Sales"), (8, "Manufacturing Cost"),
-    (9, "Freight Cost"), (10, "Other Cost"), (11, "Total COGS"), (12, "Gross Margin"),
-    (13, "Gross Margin %"), (14, "GM / Unit"), (15, "Operational Expense"),
-    (16, "Net Profit"), (17, "Net Profit %"),
-]
+from revlens.fixed_values import PL_ROWS  # noqa: E402  (re-exported)
 
 _MONEY_COLS = ("gross_sales_amount", "pre_invoice_deduction", "net_invoice_sales_amount",
                "post_invoice_deduction", "post_invoice_other_deduction", "net_sales_amount",
