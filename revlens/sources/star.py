@@ -181,8 +181,6 @@ class Star:
                             _pct(F.lit(5) + (F.col("customer_code") * 13 + F.col("fiscal_year")) % 21)
                             .cast("decimal(5,4)").alias("pre_invoice_discount_pct")))
 
-        star: Star
-
         loaders = {
             "dim_customer": dim_customer,
             "dim_product": dim_product,
@@ -200,7 +198,8 @@ class Star:
             "ns_gm_target": lambda: _targets(star.fact_actuals_estimates),
             "pl_rows": lambda: spark.createDataFrame(PL_ROWS, SCHEMAS["pl_rows"]),
         }
-        star = cls(loaders)
+        star = cls(loaders)  # the derived-table loaders above refer to it lazily
+        # kept for Star.build, which stages the order-line aggregate once
         object.__setattr__(star, "_monthly", monthly)
         object.__setattr__(star, "_part", part)
         return star

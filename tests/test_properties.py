@@ -63,3 +63,24 @@ def test_code_list_matches_find_in_set(spark, parts):
     got = sorted(r.c for r in df.filter(code_in_list("c", text)).collect())
     expect = sorted(c for c in (7, 70, 77, 700, 8) if str(c) in text.split(","))
     assert got == expect
+
+
+@SETTINGS
+@given(st.lists(st.dates(min_value=__import__("datetime").date(1990, 1, 1),
+                         max_value=__import__("datetime").date(2030, 12, 31)), min_size=1, max_size=30),
+       st.integers(1, 12))
+def test_fiscal_functions_match_definition(spark, days, start):
+    from revlens.functions.fiscal import fiscal_quarter, fiscal_year, fiscal_year_filter
+
+    def fy(d):
+        return d.year + (1 if start > 1 and d.month >= start else 0)
+
+    def fq(d):
+        return ((d.month - start) % 12) // 3 + 1
+
+    df = spark.createDataFrame([(d,) for d in days], "date date")
+    got = df.select("date", fiscal_year("date", start).alias("y"), fiscal_quarter("date", start).alias("q")).collect()
+    assert all(r.y == fy(r.date) and r.q == fq(r.date) for r in got)
+    target = fy(days[0])
+    in_range = {r.date for r in df.filter(fiscal_year_filter("date", target, start)).collect()}
+    assert in_range == {d for d in days if fy(d) == target}
