@@ -10,9 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revlens.functions.arith import divide
-from revlens.operators.measures import measures_with_prior, with_targets
 from revlens.fixed_values import MILLION, PL_TARGET_LINES, PL_TOTAL_LABEL
+from revlens.functions.arith import divide
+from revlens.operators.measures import (base_sums, measures, measures_with_prior, with_derived,
+                                        with_targets)
 from revlens.operators.output import decimals_to_double
 
 MLN = float(MILLION)
@@ -87,7 +88,6 @@ def _describe(long: DataFrame, t) -> DataFrame:
 
 def pl_rows(fact: DataFrame, t, dims: list[str], fiscal_year: int | None = None) -> DataFrame:
     """Line items 1..17 (plus the total line) per ``dims`` group: dims, ord, description, value."""
-    from revlens.operators.measures import measures
     wide = measures(fact, dims, fiscal_year)
     long = wide.select(*dims, F.inline(_lines(line_values(), None, _d("net_sales") / MLN, None)))
     return _describe(long, t).select(*dims, "ord", "description", "value")
@@ -127,9 +127,8 @@ def pl_drill(fact: DataFrame, levels: list[str], fiscal_year: int) -> DataFrame:
     then rolled up on that much smaller result; ``level`` is the grouping id
     (0 = leaf, all bits set = grand total).
     """
-    from revlens.operators.measures import base_sums, with_derived
     leaf = fact.filter(F.col("fiscal_year") == fiscal_year).groupBy(*levels).agg(*base_sums())
-    rolled = leaf.rollup(*levels).agg(F.grouping_id().alias("level"),
+    rolled = leaf.rollup(*levels).agg(F.grouping_id().cast("int").alias("level"),
                                       *[F.sum(c).alias(c) for c in leaf.columns if c not in levels])
     out = with_derived(rolled).select(*levels, "level", "net_sales", "gross_margin", "gross_margin_pct",
                                       "net_profit", "net_profit_pct")

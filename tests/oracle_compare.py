@@ -20,6 +20,9 @@ import __spark_entry__ as entry  # noqa: E402,F401
 from revlens.sources.raw import TABLES, table_path  # noqa: E402
 
 
+_DUCK_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "DATE": "date"}
+
+
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     con.execute("SET TimeZone='UTC'")
@@ -66,12 +69,16 @@ def compare(spark, con, sf_dir, name):
     st = time.time() - t0
     if sql is None:
         return f"{name}: spark rows={len(srows)} (no oracle) {st:.1f}s"
+    duck_types = {r[0]: _DUCK_TYPES.get(r[1], r[1]) for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    spark_types = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
     res = con.execute(sql)
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
     problems = []
     if sorted(scols) != sorted(dcols):
         problems.append(f"cols spark={sorted(scols)} duck={sorted(dcols)}")
+    if spark_types != duck_types:
+        problems.append(f"types spark={spark_types} duck={duck_types}")
     if len(srows) != len(drows):
         problems.append(f"rows spark={len(srows)} duck={len(drows)}")
     if not problems:
