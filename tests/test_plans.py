@@ -41,3 +41,38 @@ def test_top_n_without_full_sort(spark):
 def test_customer_list_pushed_to_scan(spark):
     df = entry.queries()["monthly_gross_sales_multi"](spark, SF)
     assert any("In(o_custkey, [7,8,9])" in s for s in scans(df)), scans(df)
+
+
+FY_REPORTS = ["product_gross_sales", "net_invoice_sale_fy", "net_sales_by_customer", "net_sales_by_customer_region",
+              "customer_contribution", "customer_contribution_region", "market_contribution", "top_products",
+              "top_markets_per_region", "top_products_per_division", "forecast_accuracy", "forecast_accuracy_zero",
+              "accuracy_decline", "pl_matrix", "pl_matrix_target", "pl_drill", "performance_matrix",
+              "segment_scorecard", "revenue_split", "region_scorecard"]
+FY_TABLES = ("fact_sales_monthly", "fact_forecast_monthly", "fact_gross_price", "fact_pre_invoice_deductions",
+             "fact_actuals_estimates", "marketshare", "ns_gm_target")
+
+
+@pytest.fixture(scope="module")
+def stored_star(spark):
+    import shutil
+    import tempfile
+
+    from revlens.sources.star import Star
+    path = tempfile.mkdtemp(prefix="rl", dir="/tmp")  # short path: scan locations print untruncated
+    Star.build(spark, SF, path + "/s")
+    yield path + "/s"
+    shutil.rmtree(path, ignore_errors=True)
+
+
+@pytest.mark.parametrize("name", FY_REPORTS)
+def test_fiscal_year_reports_prune_every_partitioned_scan(spark, stored_star, name):
+    df = entry.queries()[name](spark, stored_star)
+    checked = 0
+    for scan in scans(df):
+        table = next((t for t in FY_TABLES if f"/{t}]" in scan), None)
+        if table is None:
+            continue
+        checked += 1
+        filters = scan.split("PartitionFilters: [")[1].split("]")[0]
+        assert "fiscal_year" in filters, f"{table} not pruned: {scan[:300]}"
+    assert checked > 0
