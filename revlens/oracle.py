@@ -436,23 +436,35 @@ CAST(net_error AS BIGINT) AS net_error, forecast_accuracy_pct, forecast_accuracy
             ("d", f"SELECT *, {_derived()} FROM r")])
 
     fy_fact = ("f", f"SELECT * FROM fact_actuals_estimates WHERE fiscal_year = {FY}")
-    q["performance_matrix"] = with_views(
-        """SELECT g.customer, CAST(g.net_sales AS DOUBLE) AS net_sales, CAST(g.gross_margin AS DOUBLE) AS gross_margin, g.gross_margin_pct,
+    def performance(dim):
+        return with_views(
+            f"""SELECT g.{dim}, CAST(g.net_sales AS DOUBLE) AS net_sales, CAST(g.gross_margin AS DOUBLE) AS gross_margin, g.gross_margin_pct,
 o.gross_margin_pct AS overall_gross_margin_pct, g.gross_margin_pct - o.gross_margin_pct AS gm_pct_vs_overall FROM g, o""",
-        "fact_actuals_estimates", extra=[
-            fy_fact, ("gs", f"SELECT customer, {_sums()} FROM f GROUP BY customer"),
-            ("g", f"SELECT *, {_derived()} FROM gs"), ("os", f"SELECT {_sums()} FROM f"),
-            ("o", f"SELECT *, {_derived()} FROM os")])
-    q["segment_scorecard"] = with_views(
-        """SELECT segment, CAST(net_sales AS DOUBLE) AS net_sales, net_profit_pct, net_profit_pct_ly AS net_profit_pct_bm,
+            "fact_actuals_estimates", extra=[
+                fy_fact, ("gs", f"SELECT {dim}, {_sums()} FROM f GROUP BY {dim}"),
+                ("g", f"SELECT *, {_derived()} FROM gs"), ("os", f"SELECT {_sums()} FROM f"),
+                ("o", f"SELECT *, {_derived()} FROM os")])
+
+    def scorecard(dim):
+        return with_views(
+            f"""SELECT {dim}, CAST(net_sales AS DOUBLE) AS net_sales, net_profit_pct, net_profit_pct_ly AS net_profit_pct_bm,
 net_profit_pct - net_profit_pct_ly AS net_profit_pct_change, CASE WHEN net_profit_pct - net_profit_pct_ly < 0 THEN 1 ELSE 0 END AS decline_flag
 FROM d WHERE net_sales IS NOT NULL""",
-        "fact_actuals_estimates", extra=[prior_sums(["segment"]), ("d", f"SELECT *, {_derived()}, {_derived('_ly')} FROM s")])
-    q["revenue_split"] = with_views(
-        f"SELECT channel, CAST(net_sales AS DOUBLE) AS net_sales, {_div('net_sales', 'total_net_sales')} AS share FROM g, o",
-        "fact_actuals_estimates", extra=[
-            fy_fact, ("g", "SELECT channel, SUM(net_sales_amount) AS net_sales FROM f GROUP BY channel"),
-            ("o", "SELECT SUM(net_sales_amount) AS total_net_sales FROM f")])
+            "fact_actuals_estimates", extra=[prior_sums([dim]), ("d", f"SELECT *, {_derived()}, {_derived('_ly')} FROM s")])
+
+    def split(dim):
+        return with_views(
+            f"SELECT {dim}, CAST(net_sales AS DOUBLE) AS net_sales, {_div('net_sales', 'total_net_sales')} AS share FROM g, o",
+            "fact_actuals_estimates", extra=[
+                fy_fact, ("g", f"SELECT {dim}, SUM(net_sales_amount) AS net_sales FROM f GROUP BY {dim}"),
+                ("o", "SELECT SUM(net_sales_amount) AS total_net_sales FROM f")])
+
+    q["performance_matrix"] = performance("customer")
+    q["performance_matrix_product"] = performance("product")
+    q["segment_scorecard"] = scorecard("segment")
+    q["segment_scorecard_market"] = scorecard("market")
+    q["revenue_split"] = split("channel")
+    q["revenue_split_division"] = split("division")
     q["region_scorecard"] = with_views(
         f"""SELECT d.region, CAST(net_sales AS DOUBLE) AS net_sales, CAST(net_sales_ly AS DOUBLE) AS net_sales_ly, CAST(tg.ns_target AS DOUBLE) AS net_sales_target,
 gross_margin_pct, gross_margin_pct_ly, {_div('tg.gm_target', 'tg.ns_target')} AS gross_margin_pct_target,

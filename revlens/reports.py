@@ -229,14 +229,26 @@ def performance_matrix(spark, root):
     return PG.performance_matrix(_star(spark, root).fact_actuals_estimates, ["customer"], FY)
 
 
+def performance_matrix_product(spark, root):
+    return PG.performance_matrix(_star(spark, root).fact_actuals_estimates, ["product"], FY)
+
+
 def segment_scorecard(spark, root):
     return PG.segment_scorecard(_star(spark, root).fact_actuals_estimates, ["segment"], FY)
 
 
+def segment_scorecard_market(spark, root):
+    return PG.segment_scorecard(_star(spark, root).fact_actuals_estimates, ["market"], FY)
+
+
 def revenue_split(spark, root):
     return PG.revenue_split(_star(spark, root).fact_actuals_estimates, ["channel"], FY)
 
 
+def revenue_split_division(spark, root):
+    return PG.revenue_split(_star(spark, root).fact_actuals_estimates, ["division"], FY)
+
+
 def region_scorecard(spark, root):
     t = _star(spark, root)
     return PG.region_scorecard(t.fact_actuals_estimates, t, FY)
@@ -254,6 +266,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     top_markets_per_region, top_products_per_division, ranking_compare, actual_est, forecast_accuracy,
     forecast_accuracy_zero, accuracy_decline, pl_measures, pl_last_year, pl_vs_target, gm_gap_flag,
     sc_measures, sc_last_year, risk_flags, market_share, own_market_share, pl_rows, pl_matrix,
-    pl_matrix_target, pl_drill, performance_matrix, segment_scorecard, revenue_split, region_scorecard,
-    kpi_trend,
+    pl_matrix_target, pl_drill, performance_matrix, performance_matrix_product, segment_scorecard,
+    segment_scorecard_market, revenue_split, revenue_split_division, region_scorecard, kpi_trend,
 ]}

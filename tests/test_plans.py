@@ -47,7 +47,8 @@ FY_REPORTS = ["product_gross_sales", "net_invoice_sale_fy", "net_sales_by_custom
               "customer_contribution", "customer_contribution_region", "market_contribution", "top_products",
               "top_markets_per_region", "top_products_per_division", "forecast_accuracy", "forecast_accuracy_zero",
               "accuracy_decline", "pl_matrix", "pl_matrix_target", "pl_drill", "performance_matrix",
-              "segment_scorecard", "revenue_split", "region_scorecard"]
+              "segment_scorecard", "revenue_split", "region_scorecard", "performance_matrix_product",
+              "segment_scorecard_market", "revenue_split_division"]
 FY_TABLES = ("fact_sales_monthly", "fact_forecast_monthly", "fact_gross_price", "fact_pre_invoice_deductions",
              "fact_actuals_estimates", "marketshare", "ns_gm_target")
 
