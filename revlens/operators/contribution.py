@@ -48,3 +48,11 @@ def net_sales_by(t, dims: list[str], fiscal_year: int) -> DataFrame:
 
 def gross_sales_by(t, dims: list[str], fiscal_year: int) -> DataFrame:
     return sales_by(gross_sales(t, fiscal_year), dims, "gross_price_total", alias="gross_sales_mln")
+
+
+def quantity_by(t, dims: list[str], fiscal_year: int) -> DataFrame:
+    """Total sold quantity by product attributes for one fiscal year (all sales,
+    priced or not)."""
+    return (t.fact_sales_monthly.filter(F.col("fiscal_year") == fiscal_year)
+            .join(t.dim_product.select("product_code", *dims), "product_code")
+            .groupBy(*dims).agg(F.sum("sold_quantity").alias("total_quantity")))

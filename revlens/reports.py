@@ -116,10 +116,7 @@ def top_markets_per_region(spark, root):
 
 
 def top_products_per_division(spark, root):
-    t = _star(spark, root)
-    qty = (t.fact_sales_monthly.filter(F.col("fiscal_year") == FY)
-           .join(t.dim_product.select("product_code", "division", "product"), "product_code")
-           .groupBy("division", "product").agg(F.sum("sold_quantity").alias("total_quantity")))
+    qty = C.quantity_by(_star(spark, root), ["division", "product"], FY)
     out = R.top_k_per_group(qty, ["division"], "total_quantity", 3, method="dense_rank", rank_col="drank")
     return out.orderBy("division", "drank", "product")
 
