@@ -87,7 +87,8 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     event_dir = os.environ.get("BENCH_EVENT_DIR") or tempfile.mkdtemp(prefix="revlens-events-")
-    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2),
+    partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(max(8, cpus * 2))))
+    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=partitions,
                           app_name="revlens-bench",
                           extra={"spark.driver.memory": "16g", "spark.eventLog.enabled": "true",
                                  "spark.eventLog.dir": event_dir})
