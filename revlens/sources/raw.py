@@ -29,8 +29,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
 
 
-def read_table(spark: SparkSession, root: str, name: str, columns: list[str] | None = None) -> DataFrame:
-    df = spark.read.parquet(table_path(root, name))
+def read_table(spark: SparkSession, root: str, name: str, columns: list[str] | None = None,
+               schema: str | None = None) -> DataFrame:
+    """Read a table, optionally with an explicit (partial) schema.
+
+    An explicit schema skips inference and pins types, e.g. a wall-clock
+    ``timestamp_ntz`` that must not move with the session time zone.
+    """
+    reader = spark.read.schema(schema) if schema else spark.read
+    df = reader.parquet(table_path(root, name))
     return df.select(*columns) if columns else df
 
 

@@ -115,7 +115,10 @@ class Star:
             return raw("part", ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"])
 
         def orders():
-            return raw("orders", ["o_orderkey", "o_custkey", "o_orderdate"])
+            # order dates are wall-clock timestamps: read them as such whatever
+            # the session's time zone or timestamp inference settings
+            return once("raw:orders", lambda: read_table(
+                spark, root, "orders", schema="o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz"))
 
         def dim_customer():
             nation = raw("nation", ["n_nationkey", "n_name", "n_regionkey"])
