@@ -21,3 +21,15 @@ def test_dates_stable_under_other_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old_tz)
         spark.conf.set("spark.sql.parquet.inferTimestampNTZ.enabled", old_ntz)
+
+
+def test_results_stable_with_ansi_off(spark):
+    names = ["forecast_accuracy", "customer_contribution", "pl_matrix", "sc_measures"]
+    base = {n: sorted(map(repr, QUERIES[n](spark, SF).collect())) for n in names}
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        for n in names:
+            assert sorted(map(repr, QUERIES[n](spark, SF).collect())) == base[n], n
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
