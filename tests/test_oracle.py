@@ -1,12 +1,13 @@
 """Every registered query against its DuckDB oracle, exact values (sf0.001)."""
 
-import os
-
 import pytest
 
 import __spark_entry__ as entry
+import oracle_compare
 from oracle_compare import compare, duck
 
+oracle_compare.STRICT = True  # exact doubles, no rounding
+
 SF = "/root/testdata/sf0.001"
 NAMES = sorted(entry.queries())
 
@@ -22,7 +23,6 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
-    os.environ["STRICT"] = "1"
     line = compare(spark, con, SF, name)
     assert ": OK" in line, line
 
