@@ -80,3 +80,16 @@ def test_round_half_away_on_decimals(spark):
 def test_equals_ci(spark):
     df = spark.createDataFrame([("Brand#1",), ("brand#1",), ("Brand#12",)], "m string")
     assert df.filter(equals_ci("m", "BRAND#1")).count() == 2
+
+
+def test_long_code_list_uses_semi_join(spark):
+    from revlens.functions.sets import MAX_INLINE_CODES, restrict_to_codes
+    df = spark.range(0, 5000).withColumnRenamed("id", "c")
+    codes = ",".join(str(i) for i in range(0, 3 * MAX_INLINE_CODES, 2))
+    out = restrict_to_codes(df, "c", codes)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan
+    assert sorted(r.c for r in out.collect()) == list(range(0, 3 * MAX_INLINE_CODES, 2))
+    short = restrict_to_codes(df, "c", "1,2,3")
+    assert "LeftSemi" not in short._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.c for r in short.collect()) == [1, 2, 3]
