@@ -45,6 +45,18 @@ def blank_sub(a: Column | str, b: Column | str) -> Column:
         F.coalesce(a, F.lit(0)) - F.coalesce(b, F.lit(0)))
 
 
+def blank_add(*cols: Column | str) -> Column:
+    """Measure addition: BLANK when every term is BLANK, else BLANK terms act as 0."""
+    cs = [_col(c) for c in cols]
+    total = F.coalesce(cs[0], F.lit(0))
+    for c in cs[1:]:
+        total = total + F.coalesce(c, F.lit(0))
+    all_blank = cs[0].isNull()
+    for c in cs[1:]:
+        all_blank = all_blank & c.isNull()
+    return F.when(all_blank, F.lit(None)).otherwise(total)
+
+
 def money(c: Column | str, precision: int = 20) -> Column:
     """Round to cents and fix the money type DECIMAL(precision, 2)."""
     return F.round(_col(c), 2).cast(f"decimal({precision},2)")

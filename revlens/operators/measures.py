@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revlens.functions.arith import divide
+from revlens.functions.arith import blank_add, blank_sub, divide
 from revlens.operators.output import decimals_to_double
 from revlens.plans.joins import attach_row
 from revlens.plans.periods import with_prior_period
@@ -49,14 +49,16 @@ def derived(suffix: str = "", blank_ratio: bool = False) -> dict[str, Column]:
     """Derived measures from base sums carrying ``suffix``.
 
     Ratios use DIVIDE(a, b, 0): a period with no sales gives 0, not NULL
-    (``blank_ratio=True`` gives NULL instead).
+    (``blank_ratio=True`` gives NULL instead). Sums and differences follow the
+    measure rule: a BLANK term counts as 0 unless all terms are BLANK.
     """
     c = {n: F.col(n + suffix) for n in BASE}
     alt = None if blank_ratio else 0
-    cogs = c["manufacturing_cost"] + c["freight_cost"] + c["other_cost"]
-    gm = c["net_sales"] - cogs
-    opex = -(c["ads_promotions"] + c["other_operational_expense"])
-    np_ = gm + opex
+    # measure arithmetic: a BLANK term counts as 0 unless every term is BLANK
+    cogs = blank_add(c["manufacturing_cost"], c["freight_cost"], c["other_cost"])
+    gm = blank_sub(c["net_sales"], cogs)
+    opex = -blank_add(c["ads_promotions"], c["other_operational_expense"])
+    np_ = blank_add(gm, opex)
     return {
         "total_cogs": cogs,
         "gross_margin": gm,

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revlens.fixed_values import MILLION, PL_TARGET_LINES, PL_TOTAL_LABEL
-from revlens.functions.arith import divide
+from revlens.functions.arith import blank_add, divide
 from revlens.operators.measures import (base_sums, measures, measures_with_prior, with_derived,
                                         with_targets)
 from revlens.operators.output import decimals_to_double
@@ -38,7 +38,7 @@ def line_values(suffix: str = "") -> list[Column]:
         m["net_invoice_sales"] / MLN,
         m["post_invoice_deduction"] / MLN,
         m["post_invoice_other_deduction"] / MLN,
-        m["post_invoice_deduction"] / MLN + m["post_invoice_other_deduction"] / MLN,
+        blank_add(m["post_invoice_deduction"] / MLN, m["post_invoice_other_deduction"] / MLN),
         m["net_sales"] / MLN,
         m["manufacturing_cost"] / MLN,
         m["freight_cost"] / MLN,

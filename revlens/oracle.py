@@ -141,11 +141,18 @@ def _sums(cond: str | None = None, suffix: str = "") -> str:
     return ", ".join(parts)
 
 
+def _badd(*terms: str, sign: str = "+") -> str:
+    """Measure addition/subtraction: NULL only when every term is NULL."""
+    all_null = " AND ".join(f"({t}) IS NULL" for t in terms)
+    body = f" {sign} ".join(f"COALESCE({t}, 0)" for t in terms)
+    return f"(CASE WHEN {all_null} THEN NULL ELSE {body} END)"
+
+
 def _derived(x: str = "") -> str:
-    cogs = f"(manufacturing_cost{x} + freight_cost{x} + other_cost{x})"
-    gm = f"(net_sales{x} - {cogs})"
-    opex = f"(-(ads_promotions{x} + other_operational_expense{x}))"
-    np_ = f"({gm} + {opex})"
+    cogs = _badd(f"manufacturing_cost{x}", f"freight_cost{x}", f"other_cost{x}")
+    gm = _badd(f"net_sales{x}", cogs, sign="-")
+    opex = f"(-{_badd(f'ads_promotions{x}', f'other_operational_expense{x}')})"
+    np_ = _badd(gm, opex)
     return ", ".join([
         f"{cogs} AS total_cogs{x}", f"{gm} AS gross_margin{x}",
         f"{_div(gm, 'net_sales' + x)} AS gross_margin_pct{x}",
@@ -193,7 +200,7 @@ def _lines_sql(src: str, dims: list[str], with_bm: str | None) -> str:
         return [f"{d('gross_sales' + x)} / {mln}", f"{d('pre_invoice_deduction' + x)} / {mln}",
                 f"{d('net_invoice_sales' + x)} / {mln}", f"{d('post_invoice_deduction' + x)} / {mln}",
                 f"{d('post_invoice_other_deduction' + x)} / {mln}",
-                f"{d('post_invoice_deduction' + x)} / {mln} + {d('post_invoice_other_deduction' + x)} / {mln}",
+                _badd(f"{d('post_invoice_deduction' + x)} / {mln}", f"{d('post_invoice_other_deduction' + x)} / {mln}"),
                 f"{d('net_sales' + x)} / {mln}", f"{d('manufacturing_cost' + x)} / {mln}",
                 f"{d('freight_cost' + x)} / {mln}", f"{d('other_cost' + x)} / {mln}",
                 f"{d('total_cogs' + x)} / {mln}", f"{d('gross_margin' + x)} / {mln}",

@@ -106,3 +106,13 @@ def test_market_share_brand_case(spark):
     assert own.own_market_share == pytest.approx(0.1)
     shares = {r.manufacturer: r.market_share for r in market_share(ms, ["manufacturer"]).collect()}
     assert shares["Other"] == pytest.approx(0.9)
+
+
+def test_partially_blank_terms_count_as_zero(spark):
+    f = _fact(spark).withColumn("freight_cost", F.lit(None).cast("decimal(20,2)"))
+    m = {r.market: r for r in measures(f, ["market"], 1997).collect()}
+    a = m["A"]
+    assert a.total_cogs == a.manufacturing_cost and a.gross_margin == a.net_sales - a.manufacturing_cost
+    none = measures(f.withColumn("manufacturing_cost", F.lit(None).cast("decimal(20,2)"))
+                    .withColumn("other_cost", F.lit(None).cast("decimal(20,2)")), ["market"], 1997)
+    assert none.filter("market = 'A'").first().total_cogs is None  # every term blank -> blank
