@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from revlens.llm import op03_quality
+from revlens.llm import op03_quality, op08_jaccard
 
 QUERIES = {
     "op3_suffix_repetition": op03_quality.op3_suffix_repetition,
+    "op8_ngram_jaccard": op08_jaccard.op8_ngram_jaccard,
 }
 
 ORACLES = {
