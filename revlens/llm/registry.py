@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from revlens.llm import op02_packing, op03_quality, op08_jaccard
+from revlens.llm import op02_packing, op03_quality, op05_pii, op08_jaccard
 
 QUERIES = {
     "op2_best_fit_packing": op02_packing.op2_best_fit_packing,
     "op3_suffix_repetition": op03_quality.op3_suffix_repetition,
+    "op5_skip_chain_pii": op05_pii.op5_skip_chain_pii,
     "op8_ngram_jaccard": op08_jaccard.op8_ngram_jaccard,
 }
 
