@@ -1,25 +1,61 @@
-"""Corpus pipeline over `documents`: the stages are added as their operators land."""
+"""Corpus pipeline: quality rules, near duplicates, personal data, source mixing, packing.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the
+columns of `documents`. `run` writes every stage's rows to the shared folder before the next.
+An empty table stays empty through every stage; nulls are treated as each operator states.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from revlens.llm.op03_quality import repetition
+from revlens.llm import op02_packing, op03_quality, op05_pii, op06_mixing, op08_jaccard
+from revlens.llm.shared import cut
 
-#: No DuckDB SQL: banded MinHash classes, trained labels and packing are not SQL.
+#: No DuckDB SQL: banded MinHash classes, learned spans and packing are tested against brute force.
 ORACLE_SQL = None
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and the repetition limits; null ids are judged like any other row."""
-    return docs
+    """Documents that pass the base rules and the repetition limits."""
+    return op03_quality.keep_good(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document (the smallest doc_id) of each near-duplicate class; null ids stay."""
+    return op08_jaccard.one_of_each(docs)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with personal data replaced by its kind in brackets; n_chars follows the text."""
+    out = op05_pii.redact(docs)
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as their source's weight asks for; every document of a source with tokens at least once."""
+    return op06_mixing.mix(docs).select(*docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the tokenised documents with their sequence and offset."""
+    return op02_packing.pack(docs)
 
 
-STAGES = [("quality", quality)]
+STAGES = [
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("personal_data", personal_data),
+    ("mixing", mixing),
+    ("packing", packing),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
+        if name != STAGES[-1][0]:
+            docs = cut(docs)
     return docs

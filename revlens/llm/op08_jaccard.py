@@ -223,5 +223,16 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, target_recall: f
     )
 
 
+def one_of_each(docs: DataFrame, threshold: float = THRESHOLD, target_recall: float = TARGET_RECALL) -> DataFrame:
+    """`docs` with one document (the smallest id) of each near-duplicate class; all columns stay.
+
+    Rows with a null doc_id stay. Rows that share an id stay or go together; of rows equal in
+    id and text one stays.
+    """
+    heads = jaccard_join(docs, threshold, target_recall).where("doc_id = class_id").select(F.col("doc_id").alias("head_id")).distinct()
+    kept = docs.join(heads, F.col("doc_id") == F.col("head_id"), "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.unionByName(docs.where("doc_id IS NULL"))
+
+
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from revlens.llm import op02_packing, op03_quality, op05_pii, op08_jaccard
+from revlens.llm import op02_packing, op03_quality, op05_pii, op06_mixing, op08_jaccard
 
 QUERIES = {
     "op2_best_fit_packing": op02_packing.op2_best_fit_packing,
     "op3_suffix_repetition": op03_quality.op3_suffix_repetition,
     "op5_skip_chain_pii": op05_pii.op5_skip_chain_pii,
+    "op6_temperature_mixing": op06_mixing.op6_temperature_mixing,
     "op8_ngram_jaccard": op08_jaccard.op8_ngram_jaccard,
 }
 
 ORACLES = {
     "op3_suffix_repetition": op03_quality.ORACLE,
+    "op6_temperature_mixing": op06_mixing.ORACLE,
 }
