@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from revlens.llm import op02_packing, op03_quality, op05_pii, op06_mixing, op08_jaccard
+from revlens.llm import op02_packing, op03_quality, op05_pii, op06_mixing, op08_jaccard, op10_passages
 
 QUERIES = {
     "op2_best_fit_packing": op02_packing.op2_best_fit_packing,
@@ -10,6 +10,7 @@ QUERIES = {
     "op5_skip_chain_pii": op05_pii.op5_skip_chain_pii,
     "op6_temperature_mixing": op06_mixing.op6_temperature_mixing,
     "op8_ngram_jaccard": op08_jaccard.op8_ngram_jaccard,
+    "op10_compact_windows": op10_passages.op10_compact_windows,
 }
 
 ORACLES = {
