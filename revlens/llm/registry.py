@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from revlens.llm import op02_packing, op03_quality, op05_pii, op06_mixing, op08_jaccard, op10_passages
+from revlens.llm import op02_packing, op03_quality, op05_pii, op06_mixing, op07_language, op08_jaccard, op09_toxicity, op10_passages
 
 QUERIES = {
     "op2_best_fit_packing": op02_packing.op2_best_fit_packing,
     "op3_suffix_repetition": op03_quality.op3_suffix_repetition,
     "op5_skip_chain_pii": op05_pii.op5_skip_chain_pii,
     "op6_temperature_mixing": op06_mixing.op6_temperature_mixing,
+    "op7_hierarchical_language": op07_language.op7_hierarchical_language,
     "op8_ngram_jaccard": op08_jaccard.op8_ngram_jaccard,
+    "op9_counterfactual_toxicity": op09_toxicity.op9_counterfactual_toxicity,
     "op10_compact_windows": op10_passages.op10_compact_windows,
 }
 
