@@ -1,7 +1,7 @@
 """Toxicity: a linear classifier on words, regularised with counterfactual identity swaps.
 
 A text is its set of words (lower case; ASCII letters, digits, underscore or code points beyond
-ASCII), hashed to `FEATURES` places. The classifier is a logistic regression with a sparse
+ASCII) and of their stems (the first `STEMS` bytes of longer words), hashed to `FEATURES` places. The classifier is a logistic regression with a sparse
 penalty, fitted on a bounded sample: the `SAMPLE` labelled rows with the smallest id hash among
 those whose crc32(doc_id as text) mod 5 is not 0. Every sampled text that names a group is
 copied with its identity terms swapped for others of the list, and the squared change of the
@@ -28,6 +28,8 @@ from revlens.llm.op08_jaccard import distinct_per_text
 
 FEATURES = 1 << 20
 SAMPLE = 12_000
+STEMS = (4, 5, 6)
+SELECTED = 1000
 SWAPS = 4
 SWAP_WEIGHT = 1.0
 
@@ -40,10 +42,24 @@ IDENTITY_TERMS = (
 
 
 def places(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Feature place of every word and its text number."""
+    """Feature places of every word and of its stems, and their text numbers (ascending)."""
     data, offsets = arrowtext.text_bytes(texts, lower=True)
     starts, ends, text = arrowtext.words(data, offsets, arrowtext.WORD_BYTES)
-    return (arrowtext.word_hashes(data, starts, ends) % np.uint64(FEATURES)).astype(np.int64), text
+    found, owner = [arrowtext.word_hashes(data, starts, ends)], [text]
+    for size in STEMS:
+        longer = ends - starts > size
+        found.append(arrowtext.mix(arrowtext.word_hashes(data, starts[longer], starts[longer] + size) + np.uint64(size)))
+        owner.append(text[longer])
+    owner = np.concatenate(owner)
+    order = np.argsort(owner, kind="stable")
+    return (np.concatenate(found)[order] % np.uint64(FEATURES)).astype(np.int64), owner[order]
+
+
+def identity_places() -> np.ndarray:
+    """Places of the identity terms themselves (of their stems none)."""
+    data, offsets = arrowtext.text_bytes(pa.array(IDENTITY_TERMS))
+    starts, ends, _ = arrowtext.words(data, offsets, arrowtext.WORD_BYTES)
+    return np.unique((arrowtext.word_hashes(data, starts, ends) % np.uint64(FEATURES)).astype(np.int64))
 
 
 def swapped(present: np.ndarray, identity: np.ndarray, seed: int) -> np.ndarray | None:
@@ -56,9 +72,11 @@ def swapped(present: np.ndarray, identity: np.ndarray, seed: int) -> np.ndarray
     return np.unique(np.concatenate([present[~named], identity[(at + shift) % len(identity)]]))
 
 
-def fit(rows: list[np.ndarray], labels: np.ndarray, swap_weight: float = SWAP_WEIGHT, rounds: int = 120, rate: float = 0.3, sparse: float = 2e-4) -> tuple[np.ndarray, float]:
+def fit(rows: list[np.ndarray], labels: np.ndarray, swap_weight: float = SWAP_WEIGHT, rounds: int = 200, rate: float = 0.3, sparse: float = 1e-4) -> tuple[np.ndarray, float]:
     """Weights by feature place and the intercept."""
-    identity = np.unique(places(pa.array(IDENTITY_TERMS))[0])
+    if labels.min() == labels.max():
+        return np.zeros(FEATURES, np.float32), 6.0 if labels[0] else -6.0
+    identity = identity_places()
     n = len(rows)
     copies, origin = [], []
     for k, row in enumerate(rows):
@@ -69,9 +87,15 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, swap_weight: float = SWAP_WE
     every = [*rows, *copies]
     owner = np.repeat(np.arange(len(every)), [len(x) for x in every])
     known, column = np.unique(np.concatenate([*every, np.zeros(0, np.int64)]).astype(np.int64), return_inverse=True)
-    # a word seen in a single text says nothing about others
-    often = np.bincount(column[owner < n], minlength=len(known)) >= 3
-    often |= np.isin(known, identity)
+    # the features whose share of toxic texts is furthest from the mean; a word seen once or twice says nothing
+    real = owner < n
+    seen = np.bincount(column[real], minlength=len(known))
+    mean = labels.mean()
+    away = np.abs(np.bincount(column[real], labels[owner[real]], len(known)) - seen * mean) / np.sqrt(seen * mean * (1 - mean) + 1e-9)
+    away[seen < 3] = 0
+    often = np.zeros(len(known), bool)
+    often[np.argsort(-away, kind="stable")[:SELECTED]] = True
+    often = often & (away > 0) | np.isin(known, identity)
     renumber = np.cumsum(often) - 1
     keep = often[column]
     owner, column, known = owner[keep], renumber[column[keep]], known[often]
@@ -81,7 +105,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, swap_weight: float = SWAP_WE
     for _ in range(rounds):
         z = b + np.bincount(owner, w[column], len(every))
         slope = np.zeros(len(every))
-        slope[:n] = (1 / (1 + np.exp(-z[:n])) - labels) / n
+        slope[:n] = (1 / (1 + np.exp(-np.clip(z[:n], -500, 500))) - labels) / n
         if len(origin):
             change = swap_weight * (z[n:] - z[origin]) / len(origin)
             slope[n:] += change
@@ -135,7 +159,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float] | None) -> DataFrame:
                     place, text = places(part.column("text"))
                     matters = weights[place] != 0
                     place, text = distinct_per_text(place[matters], text[matters])
-                    p = 1 / (1 + np.exp(-(b + np.bincount(text, weights[place], part.num_rows))))
+                    p = 1 / (1 + np.exp(-np.clip(b + np.bincount(text, weights[place], part.num_rows), -500, 500)))
                 columns = [part.column("doc_id"), part.column("held_out"), pa.array(p), pa.array((p >= 0.5).astype(np.int32))]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "score", "predicted"])
 
