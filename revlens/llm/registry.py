@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from revlens.llm import op01_license, op02_packing, op03_quality, op05_pii, op06_mixing, op07_language, op08_jaccard, op09_toxicity, op10_passages
+from revlens.llm import op01_license, op02_packing, op03_quality, op04_neighbours, op05_pii, op06_mixing, op07_language, op08_jaccard, op09_toxicity, op10_passages
 
 QUERIES = {
     "op1_license_scan": op01_license.op1_license_scan,
     "op2_best_fit_packing": op02_packing.op2_best_fit_packing,
     "op3_suffix_repetition": op03_quality.op3_suffix_repetition,
+    "op4_kmeans_tree_neighbours": op04_neighbours.op4_kmeans_tree_neighbours,
     "op5_skip_chain_pii": op05_pii.op5_skip_chain_pii,
     "op6_temperature_mixing": op06_mixing.op6_temperature_mixing,
     "op7_hierarchical_language": op07_language.op7_hierarchical_language,
