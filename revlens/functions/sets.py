@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Lists longer than this are joined as a (broadcast) semi join instead of an
-# IN predicate, which keeps the plan and the parquet filter small.
-MAX_INLINE_CODES = 1000
-
 
 def parse_code_list(codes: int | str | Iterable) -> list[str]:
     """Elements of a code list exactly as FIND_IN_SET sees them.
@@ -37,26 +34,18 @@ def code_in_list(col: Column | str, codes: int | str | Iterable) -> Column:
     values = sorted({int(e) for e in parse_code_list(codes) if _canonical_int(e)})
     if not values:
         return F.lit(False)
-    return c.isin(values)
+    return c.cast("bigint").isin(values) if max(map(abs, values)) > 2**31 - 1 else c.isin(values)
 
 
-def restrict_to_codes(df: DataFrame, col: str, codes: int | str | Iterable,
-                      spark: SparkSession | None = None) -> DataFrame:
-    """Filter ``df`` to rows whose ``col`` is in the code list.
+def restrict_to_codes(df: DataFrame, col: Column | str, codes: int | str | Iterable) -> DataFrame:
+    """Filter ``df`` to rows whose ``col`` is in the code list, its schema unchanged.
 
-    Short lists become a pushed-down ``IN`` filter; long lists become a semi
-    join against a one-column frame, sized by Spark's broadcast threshold.
+    One path for every length: an ``IN`` set that Catalyst turns into a hash
+    set and pushes to the scan (as a range when long).
     """
-    values = sorted({int(e) for e in parse_code_list(codes) if _canonical_int(e)})
-    if len(values) <= MAX_INLINE_CODES:
-        return df.filter(code_in_list(col, codes))
-    spark = spark or df.sparkSession
-    keys = spark.createDataFrame([(v,) for v in values], f"{col} bigint")
-    return df.join(keys, col, "left_semi")
+    return df.filter(code_in_list(col, codes))
 
 
 def _canonical_int(text: str) -> bool:
-    """True for the decimal text of an integer as CAST(int AS CHAR) prints it."""
-    if text.startswith("-"):
-        text = text[1:]
-    return text.isdigit() and (text == "0" or not text.startswith("0"))
+    """True for the decimal text of a 64-bit integer as CAST(int AS CHAR) prints it."""
+    return bool(re.fullmatch(r"0|-?[1-9][0-9]{0,18}", text, re.ASCII)) and -(2**63) <= int(text) < 2**63

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from revlens.fixed_values import MILLION, MONEY_DIGITS
 from revlens.functions.arith import round_ratio, sql_div
-from revlens.operators.waterfall import gross_sales, net_sales
+from revlens.operators.waterfall import CUSTOMER_ATTRS, PRODUCT_ATTRS, gross_sales, net_sales, net_sales_lines
 from revlens.plans.joins import join_totals
 
 
@@ -42,8 +42,23 @@ def contribution(df: DataFrame, value: str, within: list[str] | None = None, dig
 
 
 def net_sales_by(t, dims: list[str], fiscal_year: int) -> DataFrame:
-    """Net sales in millions by ``dims`` for one fiscal year (decimal)."""
-    return sales_by(net_sales(t, fiscal_year), dims, "net_sales")
+    """Net sales in millions by ``dims`` for one fiscal year (decimal).
+
+    Line amounts are summed by customer and product code first (exact
+    decimals), and attributes join that much smaller result.
+    """
+    customer, product = ([d for d in dims if d in attrs] for attrs in (CUSTOMER_ATTRS, PRODUCT_ATTRS))
+    codes = ["customer_code"] * bool(customer) + ["product_code"] * bool(product)
+    if set(dims) - set(customer) - set(product) - {"date", "fiscal_year"}:
+        return sales_by(net_sales(t, fiscal_year), dims, "net_sales")
+    own = [d for d in dims if d in ("date", "fiscal_year")]
+    lines = net_sales_lines(t, fiscal_year, known_products=not product, known_customers=not customer)
+    sums = lines.groupBy(*codes, *own).agg(F.sum("net_sales").alias("net_sales"))
+    if customer:
+        sums = sums.join(t.dim_customer.select("customer_code", *customer), "customer_code")
+    if product:
+        sums = sums.join(t.dim_product.select("product_code", *product), "product_code")
+    return sales_by(sums, dims, "net_sales")
 
 
 def gross_sales_by(t, dims: list[str], fiscal_year: int) -> DataFrame:

@@ -21,7 +21,7 @@ KEYS = ["date", "customer_code", "product_code"]
 
 
 def actual_vs_forecast(sales: DataFrame, forecast: DataFrame,
-                       fiscal_years: list[int] | None = None) -> DataFrame:
+                       fiscal_years: list[int] | None = None, distinct: bool = False) -> DataFrame:
     """Every (date, customer, product) with its sold and forecast quantity.
 
     One full outer join replaces "left join both ways, then UNION": the two
@@ -32,16 +32,19 @@ def actual_vs_forecast(sales: DataFrame, forecast: DataFrame,
     ``fiscal_years`` restricts the result to those years by filtering both
     inputs before the join (partition pruning, a smaller shuffle). That is
     exact because the fiscal year is a function of the date and the date is
-    a join key: matching rows always share their fiscal year.
+    a join key: matching rows always share their fiscal year. An empty list
+    keeps no year. ``distinct`` drops equal rows, which gives the UNION form
+    for inputs whose keys repeat (``operators.checks`` tests for that).
     """
-    if fiscal_years:
+    if fiscal_years is not None:
         sales = sales.filter(F.col("fiscal_year").isin(*fiscal_years))
         forecast = forecast.filter(F.col("fiscal_year").isin(*fiscal_years))
     s = sales.select(*KEYS, F.col("fiscal_year").alias("_fy_sales"), "sold_quantity")
     f = forecast.select(*KEYS, F.col("fiscal_year").alias("_fy_forecast"), "forecast_quantity")
-    return (s.join(f, KEYS, "full_outer")
-            .select("date", F.coalesce("_fy_sales", "_fy_forecast").alias("fiscal_year"),
-                    "product_code", "customer_code", "sold_quantity", "forecast_quantity"))
+    out = (s.join(f, KEYS, "full_outer")
+           .select("date", F.coalesce("_fy_sales", "_fy_forecast").alias("fiscal_year"),
+                   "product_code", "customer_code", "sold_quantity", "forecast_quantity"))
+    return out.distinct() if distinct else out
 
 
 def key_duplicates(df: DataFrame, keys: list[str] | None = None) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revlens.functions.arith import divide
-from revlens.operators.measures import BASE, measures, measures_with_prior, with_derived, with_targets
+from revlens.operators.measures import (BASE, measures, measures_ly, measures_with_prior, with_benchmark,
+                                        with_derived, with_targets)
 from revlens.operators.output import decimals_to_double
+from revlens.operators.supply import forecast_measures_ly
 from revlens.plans.joins import attach_row
 
 
@@ -26,14 +28,25 @@ def performance_matrix(fact: DataFrame, dims: list[str], fiscal_year: int) -> Da
     return decimals_to_double(out)
 
 
-def segment_scorecard(fact: DataFrame, dims: list[str], fiscal_year: int) -> DataFrame:
-    """Net profit % against last year, its change and a decline flag (1 = fell)."""
+def segment_scorecard(fact: DataFrame, dims: list[str], fiscal_year: int, benchmark: str = "ly",
+                      t=None) -> DataFrame:
+    """Net profit % and gross margin % against a benchmark, with changes and a decline flag.
+
+    ``benchmark`` is ``ly`` or ``target`` (needs the star ``t``; NULL for dims
+    without targets). The flag is 1 when net profit % fell short, and for a
+    group that sold last year and nothing this year.
+    """
     m = measures_with_prior(fact, dims, fiscal_year)
-    change = F.col("net_profit_pct") - F.col("net_profit_pct_ly")
-    out = (m.filter(F.col("net_sales").isNotNull())
-           .select(*dims, "net_sales", "net_profit_pct", F.col("net_profit_pct_ly").alias("net_profit_pct_bm"),
-                   change.alias("net_profit_pct_change"),
-                   F.when(change < 0, 1).otherwise(0).alias("decline_flag")))
+    if benchmark == "target":
+        m = with_targets(m, t, dims, blank_ratio=True, fiscal_year=fiscal_year)
+    m = with_benchmark(m, benchmark)
+    np_change = F.col("net_profit_pct") - F.col("net_profit_pct_bm")
+    gm_change = F.col("gross_margin_pct") - F.col("gross_margin_pct_bm")
+    lapsed = F.col("net_sales").isNull() & F.col("net_sales_ly").isNotNull()
+    out = m.select(*dims, "net_sales", "net_profit_pct", "net_profit_pct_bm",
+                   np_change.alias("net_profit_pct_change"), "gross_margin_pct", "gross_margin_pct_bm",
+                   gm_change.alias("gross_margin_pct_change"),
+                   F.when(lapsed | (np_change < 0), 1).otherwise(0).alias("decline_flag"))
     return decimals_to_double(out)
 
 
@@ -49,10 +62,10 @@ def revenue_split(fact: DataFrame, dims: list[str], fiscal_year: int) -> DataFra
 
 
 def region_scorecard(fact: DataFrame, t, fiscal_year: int, dims: list[str] | None = None) -> DataFrame:
-    """One row per region: NS, GM %, NP % with last-year and target values."""
+    """One row per region that sold this year or last: NS, GM %, NP % with last-year and target values."""
     dims = dims or ["region"]
     m = measures_with_prior(fact, dims, fiscal_year)
-    m = with_targets(m, t, dims, fiscal_year=fiscal_year).filter(F.col("net_sales").isNotNull())
+    m = with_targets(m, t, dims, fiscal_year=fiscal_year)
     out = m.select(*dims, "net_sales", "net_sales_ly", F.col("ns_target").alias("net_sales_target"),
                    "gross_margin_pct", "gross_margin_pct_ly", "gross_margin_pct_target",
                    "net_profit_pct", "net_profit_pct_ly", "net_profit_pct_target")
@@ -64,3 +77,30 @@ def kpi_trend(fact: DataFrame, period: str = "date") -> DataFrame:
     m = measures(fact, [period])
     return decimals_to_double(m.select(period, "net_sales", "gross_margin_pct", "net_profit_pct",
                                        "sold_quantity")).orderBy(period)
+
+
+def direction(current: str, prior: str) -> Column:
+    """``up``, ``down`` or ``flat`` against the prior value; NULL when either is missing."""
+    return (F.when(F.col(current) > F.col(prior), "up").when(F.col(current) < F.col(prior), "down")
+            .when(F.col(current) == F.col(prior), "flat"))
+
+
+def kpi_trend_ly(fact: DataFrame, period: str = "date") -> DataFrame:
+    """The KPI series with the same month of last year, the change and its direction."""
+    m = measures_ly(fact, [period], period=period, blank_ratio=True)
+    kpis = ["net_sales", "gross_margin_pct", "net_profit_pct"]
+    cols = [period]
+    for k in kpis:
+        cols += [F.col(k), F.col(k + "_ly"), (F.col(k) - F.col(k + "_ly")).alias(k + "_change"),
+                 direction(k, k + "_ly").alias(k + "_direction")]
+    return decimals_to_double(m.select(*cols)).orderBy(period)
+
+
+def supply_kpis(t, dims: list[str]) -> DataFrame:
+    """Forecast accuracy, net error and absolute error per group with last year, direction and risk."""
+    m = forecast_measures_ly(t, dims)
+    return m.select(*dims, "forecast_accuracy_pct", "forecast_accuracy_pct_ly",
+                    direction("forecast_accuracy_pct", "forecast_accuracy_pct_ly").alias("accuracy_direction"),
+                    "net_error", "net_error_ly", direction("net_error", "net_error_ly").alias("net_error_direction"),
+                    "abs_error", "abs_error_ly", direction("abs_error", "abs_error_ly").alias("abs_error_direction"),
+                    "risk", "risk_ly")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from revlens.fixed_values import MILLION, PL_TARGET_LINES, PL_TOTAL_LABEL
 from revlens.functions.arith import blank_add, divide
-from revlens.operators.measures import (base_sums, measures, measures_with_prior, with_derived,
+from revlens.operators.measures import (base_sums, measures, measures_with_prior, with_benchmark, with_derived,
                                         with_targets)
 from revlens.operators.output import decimals_to_double
 
@@ -81,8 +81,7 @@ def _lines(values: list[Column], bms: list[Column] | None, total: Column,
 
 
 def _describe(long: DataFrame, t) -> DataFrame:
-    labels = F.broadcast(t.pl_rows)  # 17 fixed rows
-    return (long.join(labels, "ord", "left")
+    return (long.join(t.pl_rows, "ord", "left")
             .withColumn("description", F.coalesce("description", F.lit(PL_TOTAL_LABEL))))
 
 
@@ -120,6 +119,19 @@ def pl_statement(fact: DataFrame, t, fiscal_year: int, dims: list[str] | None =
             .select(*dims, "ord", "description", "value", "bm", "chg", "chg_pct"))
 
 
+def pl_drill_ly(fact: DataFrame, levels: list[str], fiscal_year: int) -> DataFrame:
+    """The drill with last year as the benchmark: both years in one aggregation, then rolled up."""
+    fy = F.col("fiscal_year")
+    leaf = (fact.filter(fy.isin(fiscal_year, fiscal_year - 1)).groupBy(*levels)
+            .agg(*base_sums("", fy == fiscal_year), *base_sums("_ly", fy == fiscal_year - 1)))
+    rolled = leaf.rollup(*levels).agg(F.grouping_id().cast("int").alias("level"),
+                                      *[F.sum(c).alias(c) for c in leaf.columns if c not in levels])
+    out = with_benchmark(with_derived(with_derived(rolled), "_ly"), "ly")
+    return decimals_to_double(out.select(
+        *levels, "level", "net_sales", "net_sales_ly", "gross_margin_pct", "gross_margin_pct_ly", "net_profit_pct",
+        "net_profit_pct_ly", "net_sales_bm", "gross_margin_pct_bm", "net_profit_pct_bm"))
+
+
 def pl_drill(fact: DataFrame, levels: list[str], fiscal_year: int) -> DataFrame:
     """Key P&L figures at every level of a drill path (e.g. region > market > product).
 

@@ -14,8 +14,8 @@ from revlens.fixed_values import POST_INVOICE_PCT_DIGITS
 from revlens.functions.arith import money
 from revlens.functions.fiscal import fiscal_year_filter
 
-_CUSTOMER_ATTRS = ["customer", "market", "region", "channel"]
-_PRODUCT_ATTRS = ["product", "variant", "segment", "division"]
+CUSTOMER_ATTRS = ["customer", "market", "region", "channel"]
+PRODUCT_ATTRS = ["product", "variant", "segment", "division"]
 
 
 def _sales(t, fiscal_year: int | None) -> DataFrame:
@@ -25,6 +25,16 @@ def _sales(t, fiscal_year: int | None) -> DataFrame:
     return sales
 
 
+def _post_invoice(t, fiscal_year: int | None) -> DataFrame:
+    """Post-invoice rows of one year: by the stored year, which prunes its partitions, or by
+    the year's date range for a table without that column."""
+    post = t.fact_post_invoice_deductions
+    stored = "fiscal_year" in post.columns
+    if fiscal_year is not None:
+        post = post.filter(F.col("fiscal_year") == fiscal_year if stored else fiscal_year_filter("date", fiscal_year))
+    return post.drop("fiscal_year") if stored else post
+
+
 def gross_sales(t, fiscal_year: int | None = None, sales: DataFrame | None = None,
                 extra: tuple[str, ...] = ()) -> DataFrame:
     """Sales lines priced at the fiscal year's gross price (inner joins: a sale
@@ -40,7 +50,7 @@ def gross_sales(t, fiscal_year: int | None = None, sales: DataFrame | None = Non
               .join(t.dim_product, "product_code")
               .join(t.dim_customer, "customer_code"))
     return joined.select(
-        "date", "fiscal_year", "customer_code", "product_code", *_CUSTOMER_ATTRS, *_PRODUCT_ATTRS,
+        "date", "fiscal_year", "customer_code", "product_code", *CUSTOMER_ATTRS, *PRODUCT_ATTRS,
         "sold_quantity", *extra,
         F.col("gross_price").alias("gross_price_per_item"),
         money(F.col("gross_price") * F.col("sold_quantity")).alias("gross_price_total"))
@@ -69,12 +79,10 @@ def with_post_invoice(pre: DataFrame, t, keep_components: bool = False,
 
     The post-invoice table has the same (date, product, customer) grain as the
     sales fact, so this is a fact-to-fact equi-join (shuffled when large; AQE
-    splits skewed partitions). When the fiscal year is known, the post-invoice
-    side is cut to that year's date range at the scan, before any shuffle.
+    splits skewed partitions). When the fiscal year is known, only that year's
+    partition of the post-invoice side is read.
     """
-    post = t.fact_post_invoice_deductions
-    if fiscal_year is not None:
-        post = post.filter(fiscal_year_filter("date", fiscal_year))
+    post = _post_invoice(t, fiscal_year)
     out = (pre.join(post, ["date", "product_code", "customer_code"])
            .withColumn("net_invoice_sale", net_invoice_sale())
            .withColumn("post_invoice_discount_pct",
@@ -99,9 +107,7 @@ def net_sales(t, fiscal_year: int | None = None, keep_components: bool = True) -
     follow are broadcasts or keep the key partitioning. Inner joins commute,
     so the rows equal the layer-by-layer composition.
     """
-    post = t.fact_post_invoice_deductions
-    if fiscal_year is not None:
-        post = post.filter(fiscal_year_filter("date", fiscal_year))
+    post = _post_invoice(t, fiscal_year)
     base = _sales(t, fiscal_year).join(post, ["date", "product_code", "customer_code"])
     gs = gross_sales(t, sales=base, extra=("discounts_pct", "other_deductions_pct"))
     out = (with_pre_invoice(gs, t)
@@ -113,6 +119,32 @@ def net_sales(t, fiscal_year: int | None = None, keep_components: bool = True) -
     return with_net_sales(out)
 
 
+def net_sales_lines(t, fiscal_year: int | None = None, known_products: bool = True,
+                    known_customers: bool = True) -> DataFrame:
+    """date, fiscal_year, product_code, customer_code and net_sales of every line that has a price,
+    a pre-invoice and post-invoice row, a product and a customer.
+
+    No dimension attribute is joined to the lines: the small price and
+    pre-invoice tables are cut to known products and customers instead, so
+    the same lines drop out as in ``net_sales``. A caller that joins a
+    dimension later drops them there and turns that cut off.
+    """
+    def of_year(df: DataFrame) -> DataFrame:
+        return df if fiscal_year is None else df.filter(F.col("fiscal_year") == fiscal_year)
+
+    price, pre = of_year(t.fact_gross_price), of_year(t.fact_pre_invoice_deductions)
+    if known_products:
+        price = price.join(t.dim_product.select("product_code"), "product_code", "left_semi")
+    if known_customers:
+        pre = pre.join(t.dim_customer.select("customer_code"), "customer_code", "left_semi")
+    lines = _sales(t, fiscal_year).join(_post_invoice(t, fiscal_year), ["date", "product_code", "customer_code"])
+    lines = lines.join(price, ["product_code", "fiscal_year"]).join(pre, ["customer_code", "fiscal_year"])
+    lines = (lines.withColumn("gross_price_total", money(F.col("gross_price") * F.col("sold_quantity")))
+             .withColumn("net_invoice_sale", net_invoice_sale())
+             .withColumn("post_invoice_discount_pct", post_invoice_pct()))
+    return with_net_sales(lines).select("date", "fiscal_year", "product_code", "customer_code", "net_sales")
+
+
 def net_invoice_sale_fy(t, fiscal_year: int) -> DataFrame:
     """Line-level net invoice sale for one fiscal year (pre-invoice step only)."""
     pre = with_pre_invoice(gross_sales(t, fiscal_year), t)

@@ -28,10 +28,10 @@ WHERE (p_partkey + fiscal_year) % 97 <> 0""",
     "fact_pre_invoice_deductions": """SELECT c_custkey AS customer_code, fiscal_year, CAST((5 + (c_custkey * 13 + fiscal_year) % 21) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(5,4)) AS pre_invoice_discount_pct
 FROM customer
 CROSS JOIN dim_fiscal_year""",
-    "fact_post_invoice_deductions": """SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS date, l_partkey AS product_code, o_custkey AS customer_code, CAST(MIN(l_discount) AS DECIMAL(5,4)) AS discounts_pct, CAST(MIN(l_tax) AS DECIMAL(5,4)) AS other_deductions_pct
+    "fact_post_invoice_deductions": """SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS date, l_partkey AS product_code, o_custkey AS customer_code, CAST(MIN(l_discount) AS DECIMAL(5,4)) AS discounts_pct, CAST(MIN(l_tax) AS DECIMAL(5,4)) AS other_deductions_pct, CAST(year(o_orderdate + INTERVAL 4 MONTH) AS INT) AS fiscal_year
 FROM lineitem
 JOIN orders ON o_orderkey = l_orderkey
-GROUP BY 1, 2, 3""",
+GROUP BY 1, 2, 3, 6""",
     "fact_forecast_monthly": """SELECT date, fiscal_year, product_code, customer_code, CAST(GREATEST(sold_quantity + (customer_code * 7 + product_code * 3) % 21 - 10, 0) AS BIGINT) AS forecast_quantity
 FROM fact_sales_monthly
 WHERE (customer_code + product_code) % 10 <> 0
@@ -232,7 +232,9 @@ def oracle_queries() -> dict[str, str]:
     q: dict[str, str] = {}
     fyd = "year(s.date + INTERVAL 4 MONTH)"
 
-    q["fiscal_calendar"] = """SELECT DISTINCT CAST(o_orderdate AS DATE) AS date, CAST(date_trunc('month', CAST(o_orderdate AS DATE)) AS DATE) AS month, CAST(year(CAST(o_orderdate AS DATE) + INTERVAL 4 MONTH) AS INT) AS fiscal_year, CAST(quarter(CAST(o_orderdate AS DATE) + INTERVAL 4 MONTH) AS INT) AS fiscal_quarter FROM orders"""
+    q["fiscal_calendar"] = """WITH span AS (SELECT CAST(MIN(o_orderdate) AS DATE) AS lo, CAST(MAX(o_orderdate) AS DATE) AS hi FROM orders),
+days AS (SELECT CAST(UNNEST(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS date FROM span)
+SELECT date, CAST(date_trunc('month', date) AS DATE) AS month, CAST(year(date + INTERVAL 4 MONTH) AS INT) AS fiscal_year, CAST(quarter(date + INTERVAL 4 MONTH) AS INT) AS fiscal_quarter FROM days"""
 
     q["product_gross_sales"] = with_views(f"""SELECT s.date, s.product_code, p.product, p.variant, s.sold_quantity, CAST(g.gross_price AS DOUBLE) AS gross_price, CAST(ROUND(g.gross_price * s.sold_quantity, 2) AS DOUBLE) AS gross_price_total
 FROM fact_sales_monthly s JOIN dim_product p ON p.product_code = s.product_code
@@ -344,13 +346,16 @@ JOIN dim_customer c ON c.customer_code = a.customer_code WHERE b.acc < a.acc""",
     s_fm = ("s", f"SELECT {fm}, {_sums()} FROM fact_actuals_estimates GROUP BY {fm}")
     q["pl_measures"] = with_views(f"SELECT {fm}, {_out(pl_cols)} FROM d", "fact_actuals_estimates",
                                   extra=[s_fm, ("d", f"SELECT *, {_derived()} FROM s")])
-    ly_join = ("j", "SELECT s.*, " + ", ".join(f"p.{n} AS {n}_ly" for n, _ in _BASE)
-               + " FROM s LEFT JOIN s p ON p.market = s.market AND p.fiscal_year + 1 = s.fiscal_year")
+    ly_keys = ("k", "SELECT fiscal_year, market FROM s UNION SELECT fiscal_year + 1, market FROM s "
+                    "WHERE fiscal_year + 1 IN (SELECT fiscal_year FROM s)")
+    ly_join = ("j", "SELECT k.fiscal_year, k.market, " + ", ".join(f"s.{n}, p.{n} AS {n}_ly" for n, _ in _BASE)
+               + " FROM k LEFT JOIN s ON s.market = k.market AND s.fiscal_year = k.fiscal_year "
+                 "LEFT JOIN s p ON p.market = k.market AND p.fiscal_year + 1 = k.fiscal_year")
     ly_d = ("d", f"SELECT *, {_derived()}, {_derived('_ly')} FROM j")
     q["pl_last_year"] = with_views(
         f"SELECT {fm}, {_out(['net_sales', 'net_sales_ly'])}, gross_margin_pct, gross_margin_pct_ly, net_profit_pct, net_profit_pct_ly, "
         "CAST(net_sales_ly AS DOUBLE) AS net_sales_bm, gross_margin_pct_ly AS gross_margin_pct_bm, net_profit_pct_ly AS net_profit_pct_bm FROM d",
-        "fact_actuals_estimates", extra=[s_fm, ly_join, ly_d])
+        "fact_actuals_estimates", extra=[s_fm, ly_keys, ly_join, ly_d])
     q["pl_vs_target"] = with_views(
         f"""SELECT {fm}, {_out(['net_sales', 'ns_target', 'gm_target', 'np_target'])}, gross_margin_pct, {_div('gm_target', 'ns_target')} AS gross_margin_pct_target,
 net_profit_pct, {_div('np_target', 'ns_target')} AS net_profit_pct_target, CAST(ns_target AS DOUBLE) AS net_sales_bm,
@@ -360,7 +365,7 @@ FROM d LEFT JOIN ns_gm_target t USING (fiscal_year, market)""",
     q["gm_gap_flag"] = with_views(
         f"""SELECT {fm}, gross_margin_pct, gross_margin_pct_ly AS gross_margin_pct_bm, gross_margin_pct_ly - gross_margin_pct AS gross_margin_pct_variance,
 CASE WHEN gross_margin_pct_ly - gross_margin_pct >= {GM_TOLERANCE} THEN 1 ELSE 0 END AS gross_margin_pct_flag FROM d""",
-        "fact_actuals_estimates", extra=[s_fm, ly_join, ly_d])
+        "fact_actuals_estimates", extra=[s_fm, ly_keys, ly_join, ly_d])
 
     def fc_sums(dims, dim_join):
         d = ", ".join(dims)
@@ -390,8 +395,10 @@ CAST(net_error AS BIGINT) AS net_error, net_error_pct, CAST(abs_error AS BIGINT)
         *fc_views, extra=fc_sums(["fiscal_year", "customer"], cust_join) + [("m", fc_derive("g"))])
 
     def fc_ly(dim):
-        return [("j", f"""SELECT g.*, p.forecast_qty AS forecast_qty_ly, p.actual_qty AS actual_qty_ly, p.abs_error AS abs_error_ly
-FROM g LEFT JOIN g p ON p.{dim} = g.{dim} AND p.fiscal_year + 1 = g.fiscal_year"""),
+        return [("k", f"SELECT fiscal_year, {dim} FROM g UNION SELECT fiscal_year + 1, {dim} FROM g "
+                      "WHERE fiscal_year + 1 IN (SELECT fiscal_year FROM g)"),
+                ("j", f"""SELECT k.fiscal_year, k.{dim}, g.forecast_qty, g.actual_qty, g.abs_error, p.forecast_qty AS forecast_qty_ly, p.actual_qty AS actual_qty_ly, p.abs_error AS abs_error_ly
+FROM k LEFT JOIN g ON g.{dim} = k.{dim} AND g.fiscal_year = k.fiscal_year LEFT JOIN g p ON p.{dim} = k.{dim} AND p.fiscal_year + 1 = k.fiscal_year"""),
                 ("m1", fc_derive("j")), ("m", fc_derive("m1", "_ly"))]
 
     q["sc_last_year"] = with_views(
@@ -402,6 +409,19 @@ FROM g LEFT JOIN g p ON p.{dim} = g.{dim} AND p.fiscal_year + 1 = g.fiscal_year"
 CAST(net_error AS BIGINT) AS net_error, forecast_accuracy_pct, forecast_accuracy_pct_ly, risk FROM m""",
         *fc_views, extra=fc_sums(["fiscal_year", "segment"], seg_join) + fc_ly("segment"))
 
+    def moved(a, b, name):
+        return f"CASE WHEN {a} > {b} THEN 'up' WHEN {a} < {b} THEN 'down' WHEN {a} = {b} THEN 'flat' END AS {name}"
+
+    def sc_kpis(dim, join):
+        return with_views(
+            f"""SELECT fiscal_year, {dim}, forecast_accuracy_pct, forecast_accuracy_pct_ly, {moved('forecast_accuracy_pct', 'forecast_accuracy_pct_ly', 'accuracy_direction')},
+CAST(net_error AS BIGINT) AS net_error, CAST(net_error_ly AS BIGINT) AS net_error_ly, {moved('net_error', 'net_error_ly', 'net_error_direction')},
+CAST(abs_error AS BIGINT) AS abs_error, CAST(abs_error_ly AS BIGINT) AS abs_error_ly, {moved('abs_error', 'abs_error_ly', 'abs_error_direction')}, risk, risk_ly FROM m""",
+            *fc_views, extra=fc_sums(["fiscal_year", dim], join) + fc_ly(dim))
+
+    q["sc_kpis_customer"] = sc_kpis("customer", cust_join)
+    q["sc_kpis_segment"] = sc_kpis("segment", seg_join)
+
     q["market_share"] = with_views(
         f"""SELECT fiscal_year, manufacturer, CAST(SUM(sales) AS DOUBLE) AS sales, CAST(SUM(total_market_sales) AS DOUBLE) AS total_market_sales,
 {_div('SUM(sales)', 'SUM(total_market_sales)')} AS market_share FROM marketshare GROUP BY fiscal_year, manufacturer""", "marketshare")
@@ -452,12 +472,18 @@ o.gross_margin_pct AS overall_gross_margin_pct, g.gross_margin_pct - o.gross_mar
                 ("g", f"SELECT *, {_derived()} FROM gs"), ("os", f"SELECT {_sums()} FROM f"),
                 ("o", f"SELECT *, {_derived()} FROM os")])
 
-    def scorecard(dim):
+    def scorecard(dim, target=False):
+        none = "CAST(NULL AS DOUBLE)"
+        np_bm = _div("tg.np_target", "tg.ns_target", none) if target else "net_profit_pct_ly"
+        gm_bm = _div("tg.gm_target", "tg.ns_target", none) if target else "gross_margin_pct_ly"
+        join = f" LEFT JOIN ns_gm_target tg ON tg.{dim} = d.{dim} AND tg.fiscal_year = {FY}" if target else ""
         return with_views(
-            f"""SELECT {dim}, CAST(net_sales AS DOUBLE) AS net_sales, net_profit_pct, net_profit_pct_ly AS net_profit_pct_bm,
-net_profit_pct - net_profit_pct_ly AS net_profit_pct_change, CASE WHEN net_profit_pct - net_profit_pct_ly < 0 THEN 1 ELSE 0 END AS decline_flag
-FROM d WHERE net_sales IS NOT NULL""",
-            "fact_actuals_estimates", extra=[prior_sums([dim]), ("d", f"SELECT *, {_derived()}, {_derived('_ly')} FROM s")])
+            f"""SELECT d.{dim}, CAST(net_sales AS DOUBLE) AS net_sales, net_profit_pct, {np_bm} AS net_profit_pct_bm, net_profit_pct - {np_bm} AS net_profit_pct_change,
+gross_margin_pct, {gm_bm} AS gross_margin_pct_bm, gross_margin_pct - {gm_bm} AS gross_margin_pct_change,
+CASE WHEN (net_sales IS NULL AND net_sales_ly IS NOT NULL) OR net_profit_pct - {np_bm} < 0 THEN 1 ELSE 0 END AS decline_flag
+FROM d{join}""",
+            "fact_actuals_estimates", *(["ns_gm_target"] if target else []),
+            extra=[prior_sums([dim]), ("d", f"SELECT *, {_derived()}, {_derived('_ly')} FROM s")])
 
     def split(dim):
         return with_views(
@@ -470,13 +496,14 @@ FROM d WHERE net_sales IS NOT NULL""",
     q["performance_matrix_product"] = performance("product")
     q["segment_scorecard"] = scorecard("segment")
     q["segment_scorecard_market"] = scorecard("market")
+    q["segment_scorecard_market_target"] = scorecard("market", target=True)
     q["revenue_split"] = split("channel")
     q["revenue_split_division"] = split("division")
     q["region_scorecard"] = with_views(
         f"""SELECT d.region, CAST(net_sales AS DOUBLE) AS net_sales, CAST(net_sales_ly AS DOUBLE) AS net_sales_ly, CAST(tg.ns_target AS DOUBLE) AS net_sales_target,
 gross_margin_pct, gross_margin_pct_ly, {_div('tg.gm_target', 'tg.ns_target')} AS gross_margin_pct_target,
 net_profit_pct, net_profit_pct_ly, {_div('tg.np_target', 'tg.ns_target')} AS net_profit_pct_target
-FROM d LEFT JOIN tg ON tg.region = d.region WHERE net_sales IS NOT NULL""",
+FROM d LEFT JOIN tg ON tg.region = d.region""",
         "fact_actuals_estimates", "ns_gm_target", "dim_customer", extra=[
             prior_sums(["region"]), ("d", f"SELECT *, {_derived()}, {_derived('_ly')} FROM s"),
             ("tg", f"""SELECT m.region, SUM(t.ns_target) AS ns_target, SUM(t.gm_target) AS gm_target, SUM(t.np_target) AS np_target
@@ -485,4 +512,23 @@ FROM ns_gm_target t JOIN (SELECT DISTINCT market, region FROM dim_customer) m ON
         "SELECT date, CAST(net_sales AS DOUBLE) AS net_sales, gross_margin_pct, net_profit_pct, CAST(sold_quantity AS BIGINT) AS sold_quantity FROM d ORDER BY date",
         "fact_actuals_estimates", extra=[
             ("s", f"SELECT date, {_sums()} FROM fact_actuals_estimates GROUP BY date"), ("d", f"SELECT *, {_derived()} FROM s")])
+    trend_none = "CAST(NULL AS DOUBLE)"
+    kpis = {"net_sales": ("CAST(s.net_sales AS DOUBLE)", "CAST(p.net_sales AS DOUBLE)"),
+            "gross_margin_pct": ("s.gross_margin_pct", "p.gross_margin_pct"), "net_profit_pct": ("s.net_profit_pct", "p.net_profit_pct")}
+    cols = ", ".join(f"{a} AS {n}, {b} AS {n}_ly, CAST({a if n != 'net_sales' else 's.net_sales'} - {b if n != 'net_sales' else 'p.net_sales'} AS DOUBLE) AS {n}_change, {moved(a, b, n + '_direction')}"
+                     for n, (a, b) in kpis.items())
+    ratios = _derived().replace("CAST(0 AS DOUBLE)", trend_none)
+    q["kpi_trend_ly"] = with_views(
+        f"SELECT k.date, {cols} FROM k LEFT JOIN d s ON s.date = k.date LEFT JOIN d p ON CAST(p.date + INTERVAL 12 MONTH AS DATE) = k.date ORDER BY k.date",
+        "fact_actuals_estimates", extra=[
+            ("b", f"SELECT date, {_sums()} FROM fact_actuals_estimates GROUP BY date"), ("d", f"SELECT *, {ratios} FROM b"),
+            ("k", "SELECT date FROM b")])
+    lv = "region, market"
+    q["pl_drill_ly"] = with_views(
+        f"""SELECT {lv}, CAST(level AS INT) AS level, {_out(['net_sales', 'net_sales_ly'])}, gross_margin_pct, gross_margin_pct_ly, net_profit_pct, net_profit_pct_ly,
+CAST(net_sales_ly AS DOUBLE) AS net_sales_bm, gross_margin_pct_ly AS gross_margin_pct_bm, net_profit_pct_ly AS net_profit_pct_bm FROM d""",
+        "fact_actuals_estimates", extra=[
+            ("leaf", f"SELECT {lv}, {_sums(f'fiscal_year = {FY}')}, {_sums(f'fiscal_year = {FY_PRIOR}', '_ly')} FROM fact_actuals_estimates WHERE fiscal_year IN ({FY}, {FY_PRIOR}) GROUP BY {lv}"),
+            ("r", f"SELECT {lv}, GROUPING({lv}) AS level, " + ", ".join(f"SUM({n}{x}) AS {n}{x}" for n, _ in _BASE for x in ("", "_ly")) + f" FROM leaf GROUP BY ROLLUP ({lv})"),
+            ("d", f"SELECT *, {_derived()}, {_derived('_ly')} FROM r")])
     return q

@@ -33,7 +33,9 @@ def with_prior_period(agg: DataFrame, dims: list[str], period: str, columns: lis
                       suffix: str = "_ly") -> DataFrame:
     """``agg`` plus ``<col><suffix>`` = value of the same dims one year earlier.
 
-    Rows are kept exactly for the (dims, period) groups present in ``agg``.
+    A group present only a year earlier is kept with NULL current values when
+    its period occurs in ``agg`` at all, so the prior amounts of a lapsed
+    customer or market stay in that period's total.
     """
     if period not in dims:
         raise ValueError(f"dims must contain the period column {period!r}")
@@ -56,4 +58,5 @@ def with_prior_period(agg: DataFrame, dims: list[str], period: str, columns: lis
               .agg(F.max("__current").alias("__current"),
                    *[F.max(c).alias(c) for c in columns],
                    *[F.max(c + suffix).alias(c + suffix) for c in columns]))
-    return merged.filter(F.col("__current") == 1).drop("__current")
+    known = merged.filter(F.col("__current") == 1).select(period).distinct()
+    return merged.drop("__current").join(known, period, "left_semi").select(*dims, *columns, *[c + suffix for c in columns])

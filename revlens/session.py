@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings every job of this library expects; the values are sized for
@@ -42,22 +39,20 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a private one only if unset.
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
+    """The shared checkpoint folder the session names in ``spark.checkpoint.dir``, or None.
 
-    A cluster names a shared folder in ``spark.checkpoint.dir``; that value
-    is always respected. Only when nothing is configured (local tests) is a
-    fresh scratch folder created.
+    No folder is invented: intermediate data must lie where every executor
+    can read it, so a job that checkpoints has to be given one.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="revlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    if configured:
+        sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir()
 
 
 def scale_conf(shuffle_bytes: int, total_cores: int,

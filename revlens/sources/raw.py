@@ -6,20 +6,17 @@ narrow even before Catalyst's own pruning runs.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-def table_path(root: str, name: str) -> str:
-    """Location of a table under ``root``: ``name.parquet`` file or ``name/`` folder."""
-    single = os.path.join(root, f"{name}.parquet")
-    if "://" in root or os.path.exists(single):
-        return single
-    return os.path.join(root, name)
+def table_path(spark: SparkSession, root: str, name: str) -> str:
+    """Location of a table under ``root``: ``name.parquet`` or the folder ``name``, whichever exists
+    on the path's own file system."""
+    base = f"{root.rstrip('/')}/{name}"
+    return base if path_exists(spark, base) and not path_exists(spark, base + ".parquet") else base + ".parquet"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -29,6 +26,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
 
 
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a file or folder through Hadoop's FileSystem; False if there is none."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
 def read_table(spark: SparkSession, root: str, name: str, columns: list[str] | None = None,
                schema: str | None = None) -> DataFrame:
     """Read a table, optionally with an explicit (partial) schema.
@@ -37,7 +40,7 @@ def read_table(spark: SparkSession, root: str, name: str, columns: list[str] | N
     ``timestamp_ntz`` that must not move with the session time zone.
     """
     reader = spark.read.schema(schema) if schema else spark.read
-    df = reader.parquet(table_path(root, name))
+    df = reader.parquet(table_path(spark, root, name))
     return df.select(*columns) if columns else df
 
 

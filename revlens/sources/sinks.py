@@ -11,19 +11,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from revlens.operators.forecast import actual_vs_forecast
+from revlens.sources.raw import remove_path
 
 ACTUAL_EST_COLUMNS = ["date", "product_code", "customer_code", "sold_quantity", "forecast_quantity",
                       "fiscal_year"]
 
 
 def write_actual_est(t, path: str, fiscal_years: list[int] | None = None) -> DataFrame:
-    """Write fact_actual_est under ``path`` and return a reader of the stored table."""
+    """Write fact_actual_est under ``path`` and return a reader of the stored table.
+
+    Rows are rebalanced by year first, so a year is a few files of even size
+    and a large year is split. A refreshed year that has no rows any more
+    loses its old partition; an empty list of years changes nothing.
+    """
     spark = t.fact_sales_monthly.sparkSession
     df = actual_vs_forecast(t.fact_sales_monthly, t.fact_forecast_monthly, fiscal_years)
-    writer = df.select(*ACTUAL_EST_COLUMNS).write.partitionBy("fiscal_year")
-    if fiscal_years:
-        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer = df.select(*ACTUAL_EST_COLUMNS).hint("rebalance", "fiscal_year").write.partitionBy("fiscal_year")
+    writer = writer.mode("overwrite")
+    if fiscal_years is not None:
+        present = {r[0] for r in df.select("fiscal_year").distinct().collect()}  # at most the years given
+        writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+        for year in set(fiscal_years) - present:
+            remove_path(spark, f"{path.rstrip('/')}/fiscal_year={year}")
     else:
-        writer = writer.mode("overwrite")
-    writer.parquet(path)
+        writer.parquet(path)
     return spark.read.parquet(path)

@@ -12,13 +12,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from revlens.functions.arith import money
 from revlens.functions.fiscal import fiscal_year
 from revlens.plans.joins import attach_row
-from revlens.sources.raw import path_exists, read_table
+from revlens.sources.raw import path_exists, read_table, remove_path
 
 from revlens.fixed_values import PL_ROWS  # noqa: E402  (re-exported)
 
@@ -42,7 +42,7 @@ COLUMNS: dict[str, list[tuple[str, str]]] = {
     "fact_pre_invoice_deductions": [("customer_code", "bigint"), ("pre_invoice_discount_pct", "decimal(5,4)"),
                                     ("fiscal_year", "int")],
     "fact_post_invoice_deductions": _K + [("discounts_pct", "decimal(5,4)"),
-                                          ("other_deductions_pct", "decimal(5,4)")],
+                                          ("other_deductions_pct", "decimal(5,4)"), ("fiscal_year", "int")],
     "marketshare": [("category", "string"), ("manufacturer", "string"), ("sales", "decimal(25,2)"),
                     ("total_market_sales", "decimal(25,2)"), ("fiscal_year", "int")],
     "expenses": [("category", "string"), ("amount", "int"), ("expense_id", "bigint")],
@@ -61,7 +61,7 @@ _SAME_GRAIN = ("fact_sales_monthly", "fact_forecast_monthly", "fact_post_invoice
 BUCKET_KEY = ("date", "product_code", "customer_code")
 
 # Tables partitioned by fiscal_year when written.
-_FY_PARTITIONED = {"fact_sales_monthly", "fact_forecast_monthly", "fact_gross_price",
+_FY_PARTITIONED = {"fact_sales_monthly", "fact_forecast_monthly", "fact_post_invoice_deductions", "fact_gross_price",
                    "fact_pre_invoice_deductions", "fact_actuals_estimates", "marketshare",
                    "ns_gm_target"}
 
@@ -133,6 +133,12 @@ class Star:
                             F.col("r_name").alias("region"),
                             F.col("c_mktsegment").alias("channel")))
 
+        def dim_date():
+            # every day from the first to the last order: prior periods need an unbroken calendar
+            day = F.to_date("o_orderdate")
+            return (orders().agg(F.min(day).alias("first"), F.max(day).alias("last")).where("first IS NOT NULL")
+                    .select(F.explode(F.sequence("first", "last")).alias("date")))
+
         def dim_product():
             return part().select(F.col("p_partkey").alias("product_code"), F.col("p_name").alias("product"),
                                  F.col("p_type").alias("variant"), F.col("p_type").alias("segment"),
@@ -187,7 +193,7 @@ class Star:
         loaders = {
             "dim_customer": dim_customer,
             "dim_product": dim_product,
-            "dim_date": lambda: orders().select(F.to_date("o_orderdate").alias("date")).distinct(),
+            "dim_date": dim_date,
             "fact_sales_monthly": lambda: _sales_of(monthly()),
             "fact_post_invoice_deductions": lambda: _post_of(monthly()),
             "fact_forecast_monthly": lambda: _forecast(star.fact_sales_monthly),
@@ -213,13 +219,19 @@ class Star:
         self.write_tables(path, list(TABLES), mode)
 
     def write_tables(self, path: str, names: list[str], mode: str = "overwrite") -> None:
-        """Write tables; facts are sorted inside each task by their keys (no
-        shuffle) so parquet row-group statistics on customer / product are
-        narrow and a one-customer filter skips most row groups."""
+        """Write tables; tables stored by year are rebalanced by year first, so a
+        year is a few files of even size (a large year is split), and facts are
+        sorted inside each task by their keys so parquet row-group statistics on
+        customer / product are narrow and a one-customer filter skips most row
+        groups. The completion marker goes first: a star that is being written,
+        or whose writing failed, never counts as stored."""
+        remove_path(SparkSession.active(), f"{_table_dir(path, TABLES[-1])}/_SUCCESS")
         for name in names:
             cols = [c for c, _ in COLUMNS[name]]
             df = getattr(self, name).select(*cols)
             keys = [k for k in ("fiscal_year", "customer_code", "product_code", "date") if k in cols]
+            if name in _FY_PARTITIONED:
+                df = df.hint("rebalance", "fiscal_year")
             if name.startswith("fact_") and "customer_code" in cols:
                 df = df.sortWithinPartitions(*keys)
             writer = df.write.mode(mode)
@@ -233,8 +245,12 @@ class Star:
 
         Stages are written in dependency order and each later stage reads the
         stored tables of the earlier ones, so no table is recomputed and the
-        lineage of the long derivations is cut at every stage.
+        lineage of the long derivations is cut at every stage. The stored facts
+        must have unique keys and the fiscal year of their dates, else this fails.
         """
+        remove_path(spark, _table_dir(path, TABLES[-1]))  # not stored until this build is done
+        from revlens.operators.checks import check_facts
+
         t = cls.from_source(spark, root)
         # the order-line aggregate is staged once; three tables are cut from it
         staged = f"{path.rstrip('/')}/_staging_monthly"
@@ -252,7 +268,9 @@ class Star:
             setattr(t, name, getattr(stored, name))
         t.write_tables(path, ["fact_forecast_monthly", "fact_actuals_estimates"])
         t.fact_actuals_estimates = stored.fact_actuals_estimates
+        check_facts(stored)
         t.write_tables(path, ["ns_gm_target", "pl_rows"])  # pl_rows last: marks completion
+        remove_path(spark, staged)
         return cls.read(spark, path)
 
     @classmethod
@@ -316,20 +334,16 @@ def _forecast(sales: DataFrame) -> DataFrame:
     """Monthly forecasts: most sales get a perturbed forecast, some none, and some
     keys get a forecast one month after the sale where no sale exists."""
     mix = (F.col("customer_code") + F.col("product_code")) % 10
-    on_time = (sales.filter(mix != 0)
-               .select("date", "fiscal_year", "product_code", "customer_code",
-                       F.greatest(F.col("sold_quantity")
-                                  + (F.col("customer_code") * 7 + F.col("product_code") * 3) % 21
-                                  - 10, F.lit(0)).cast("bigint").alias("forecast_quantity")))
-    later_keys = sales.select("product_code", "customer_code", F.col("date").alias("next_date"))
-    late = (sales.filter(mix == 1)
-            .withColumn("next_date", F.add_months("date", 1))
-            .join(later_keys, ["product_code", "customer_code", "next_date"], "left_anti")
-            .select(F.col("next_date").alias("date"),
-                    fiscal_year(F.col("next_date")).alias("fiscal_year"),
-                    "product_code", "customer_code",
-                    F.col("sold_quantity").alias("forecast_quantity")))
-    return on_time.unionByName(late)
+    later, following = F.add_months("date", 1), F.lead("date").over(Window.partitionBy("product_code", "customer_code").orderBy("date"))
+    quantity = F.greatest(F.col("sold_quantity") + (F.col("customer_code") * 7 + F.col("product_code") * 3) % 21 - 10,
+                          F.lit(0)).cast("bigint")
+    row = lambda date, year, amount: F.struct(date.alias("date"), year.alias("fiscal_year"), amount.alias("forecast_quantity"))
+    on_time = F.when(mix != 0, row(F.col("date"), F.col("fiscal_year"), quantity))
+    late = F.when((mix == 1) & (F.col("following").isNull() | (F.col("following") > later)),
+                  row(later, fiscal_year(later), F.col("sold_quantity")))
+    rows = sales.withColumn("following", following).select(
+        "product_code", "customer_code", F.inline(F.filter(F.array(on_time, late), lambda x: x.isNotNull())))
+    return rows.select("date", "fiscal_year", "product_code", "customer_code", "forecast_quantity")
 
 
 def _sales_of(monthly: DataFrame) -> DataFrame:
@@ -337,7 +351,8 @@ def _sales_of(monthly: DataFrame) -> DataFrame:
 
 
 def _post_of(monthly: DataFrame) -> DataFrame:
-    return monthly.select("date", "product_code", "customer_code", "discounts_pct", "other_deductions_pct")
+    return monthly.select("date", "fiscal_year", "product_code", "customer_code", "discounts_pct",
+                          "other_deductions_pct")
 
 
 def _marketshare(monthly: DataFrame, part: DataFrame) -> DataFrame:

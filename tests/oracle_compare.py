@@ -17,7 +17,7 @@ STRICT = os.environ.get("STRICT") == "1"
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as entry  # noqa: E402,F401
-from revlens.sources.raw import TABLES, table_path  # noqa: E402
+from revlens.sources.raw import TABLES  # noqa: E402
 
 
 _DUCK_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "DATE": "date"}
@@ -27,7 +27,7 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     con.execute("SET TimeZone='UTC'")
     for t in TABLES:
-        p = table_path(sf_dir, t)
+        p = os.path.join(sf_dir, f"{t}.parquet")
         if os.path.exists(p):
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
     return con

@@ -82,14 +82,14 @@ def test_equals_ci(spark):
     assert df.filter(equals_ci("m", "BRAND#1")).count() == 2
 
 
-def test_long_code_list_uses_semi_join(spark):
-    from revlens.functions.sets import MAX_INLINE_CODES, restrict_to_codes
-    df = spark.range(0, 5000).withColumnRenamed("id", "c")
-    codes = ",".join(str(i) for i in range(0, 3 * MAX_INLINE_CODES, 2))
-    out = restrict_to_codes(df, "c", codes)
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "LeftSemi" in plan
-    assert sorted(r.c for r in out.collect()) == list(range(0, 3 * MAX_INLINE_CODES, 2))
-    short = restrict_to_codes(df, "c", "1,2,3")
-    assert "LeftSemi" not in short._jdf.queryExecution().executedPlan().toString()
-    assert sorted(r.c for r in short.collect()) == [1, 2, 3]
+def test_code_list_edges_at_every_length(spark):
+    from revlens.functions.sets import restrict_to_codes
+    df = spark.createDataFrame([(0, "a"), (3, "b"), (7, "c"), (1500, "d")], "c bigint, v string").select("v", "c")
+    odd = ["٣", "²", "-0", "9" * 30, "+7", " 7", "007", "", "-9223372036854775809"]
+    for filler in (0, 1000, 1500):
+        out = restrict_to_codes(df, "c", ",".join([*odd, "7", *map(str, range(10_000, 10_000 + filler))]))
+        assert out.columns == ["v", "c"] and [r.c for r in out.collect()] == [7]
+        by_column = restrict_to_codes(df, F.col("c"), ["7", *map(str, range(10_000, 10_000 + filler))])
+        assert [r.v for r in by_column.collect()] == ["c"]
+    assert restrict_to_codes(df, "c", ",".join(odd)).count() == 0
+    assert restrict_to_codes(df, "c", "1500,9223372036854775807").count() == 1

@@ -1,0 +1,130 @@
+"""Groups that sold a year ago and no longer: their prior amounts stay; checks that fail; safe rebuilds."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL, Tables
+from revlens.operators.checks import require_stored_fiscal_year, require_unique_keys
+from revlens.operators.contribution import net_sales_by, sales_by
+from revlens.operators.forecast import actual_vs_forecast
+from revlens.operators.measures import BASE, measures_ly
+from revlens.operators.pages import region_scorecard, segment_scorecard, supply_kpis
+from revlens.operators.waterfall import net_sales
+from revlens.sources.star import Star
+
+
+def fact(spark, rows):
+    """(fiscal_year, market, amount) rows of the P&L fact: every money column holds the amount."""
+    money = [c for c in BASE.values() if c != "sold_quantity"]
+    df = spark.createDataFrame(rows, "fiscal_year int, market string, amount int")
+    cols = [F.col("amount").cast("decimal(20,2)").alias(c) if c == "net_sales_amount" else F.lit(1).cast("decimal(20,2)").alias(c)
+            for c in money]
+    return df.select("fiscal_year", "market", F.col("market").alias("segment"), F.col("market").alias("region"), *cols,
+                     F.lit(1).cast("bigint").alias("sold_quantity"))
+
+
+ROWS = [(1996, "gone", 100), (1996, "kept", 50), (1997, "kept", 60)]
+
+
+def test_last_year_of_a_lapsed_market(spark):
+    out = {(r.fiscal_year, r.market): r for r in measures_ly(fact(spark, ROWS), ["fiscal_year", "market"]).collect()}
+    assert set(out) == {(1996, "gone"), (1996, "kept"), (1997, "kept"), (1997, "gone")}
+    gone = out[1997, "gone"]
+    assert gone.net_sales is None and gone.net_sales_ly == 100 and gone.sold_quantity_ly == 1
+    assert sum(r.net_sales_ly for k, r in out.items() if k[0] == 1997) == 150
+
+
+def test_scorecards_show_lapsed_groups(spark):
+    f = fact(spark, ROWS)
+    out = {r.segment: r for r in segment_scorecard(f, ["segment"], 1997).collect()}
+    assert out["gone"].net_sales is None and out["gone"].decline_flag == 1 and out["gone"].net_profit_pct_bm is not None
+    assert set(out) == {"gone", "kept"}
+    targets = spark.createDataFrame([], "market string, ns_target decimal(24,2), gm_target decimal(24,2), np_target decimal(24,2), fiscal_year int")
+    customers = spark.createDataFrame([("gone", "gone"), ("kept", "kept")], "market string, region string")
+    t = Tables(ns_gm_target=targets, dim_customer=customers)
+    regions = {r.region: r for r in region_scorecard(f, t, 1997).collect()}
+    assert regions["gone"].net_sales is None and regions["gone"].net_sales_ly == 100
+    by_target = segment_scorecard(f, ["market"], 1997, "target", t).collect()
+    assert {r.market: r.decline_flag for r in by_target} == {"gone": 1, "kept": 0}
+    assert all(r.net_profit_pct_bm is None for r in by_target)
+
+
+def test_supply_kpis_of_a_lapsed_customer(spark):
+    day = dt.date
+    sales = spark.createDataFrame([(day(1996, 1, 1), 1, 1, 10, 1996), (day(1996, 1, 1), 1, 2, 10, 1996), (day(1997, 1, 1), 1, 2, 9, 1997)],
+                                  "date date, product_code bigint, customer_code bigint, sold_quantity bigint, fiscal_year int")
+    forecast = spark.createDataFrame([(day(1996, 1, 1), 1, 1, 14, 1996), (day(1997, 1, 1), 1, 2, 12, 1997)],
+                                     "date date, product_code bigint, customer_code bigint, forecast_quantity bigint, fiscal_year int")
+    customers = spark.createDataFrame([(1, "gone"), (2, "kept")], "customer_code bigint, customer string")
+    t = Tables(fact_sales_monthly=sales, fact_forecast_monthly=forecast, dim_customer=customers)
+    out = {(r.fiscal_year, r.customer): r for r in supply_kpis(t, ["fiscal_year", "customer"]).collect()}
+    gone = out[1997, "gone"]
+    assert gone.abs_error is None and gone.abs_error_ly == 4 and gone.net_error_ly == 4 and gone.abs_error_direction is None
+    kept = out[1997, "kept"]
+    assert (kept.net_error, kept.net_error_ly, kept.net_error_direction, kept.risk) == (3, -10, "up", "EI")
+    assert kept.abs_error_direction == "down"
+
+
+def test_checks_fail_on_bad_facts(spark, star):
+    sales = star.fact_sales_monthly
+    require_unique_keys(sales, "sales")
+    require_stored_fiscal_year(sales, "sales")
+    with pytest.raises(ValueError, match="occurs 2 times"):
+        require_unique_keys(sales.unionByName(sales.limit(1)), "sales")
+    with pytest.raises(ValueError, match="stored for"):
+        require_stored_fiscal_year(sales.withColumn("fiscal_year", F.col("fiscal_year") + 1), "sales")
+
+
+def test_distinct_gives_the_union_form(spark):
+    sales = spark.createDataFrame([(dt.date(1996, 1, 1), 1, 1, 10, 1996)] * 2, "date date, product_code bigint, customer_code bigint, sold_quantity bigint, fiscal_year int")
+    forecast = sales.select("date", "product_code", "customer_code", F.col("sold_quantity").alias("forecast_quantity"), "fiscal_year").limit(1)
+    assert actual_vs_forecast(sales, forecast).count() == 2
+    assert actual_vs_forecast(sales, forecast, distinct=True).count() == 1
+    assert actual_vs_forecast(sales, forecast, fiscal_years=[]).count() == 0
+
+
+def test_calendar_has_every_day(star):
+    r = star.dim_date.agg(F.min("date").alias("a"), F.max("date").alias("b"), F.count("*").alias("n")).first()
+    assert r.n == (r.b - r.a).days + 1 == star.dim_date.distinct().count()
+
+
+def test_a_failed_rebuild_is_not_a_stored_star(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "star")
+    Star.build(spark, SF_SMALL, path)
+    assert Star.is_stored(spark, path) and not (tmp_path / "star" / "_staging_monthly").exists()
+    real, calls = Star.write_tables, []
+
+    def stops(self, where, names, mode="overwrite"):
+        calls.append(names)
+        if len(calls) > 1:
+            raise RuntimeError("lost")
+        real(self, where, names, mode)
+
+    monkeypatch.setattr(Star, "write_tables", stops)
+    with pytest.raises(RuntimeError):
+        Star.build(spark, SF_SMALL, path)
+    assert not Star.is_stored(spark, path)
+
+
+def test_early_aggregation_equals_the_wide_join_under_skew(spark, star):
+    """One customer and one product hold most lines, broadcasts off: same sums, fewer exchanges."""
+    hot = F.when(F.col("sold_quantity") % 3 != 0, F.lit(7)).otherwise(F.col("customer_code")).cast("bigint")
+    keys = ["date", "fiscal_year", "product_code"]
+    sales = star.fact_sales_monthly.withColumn("customer_code", hot).groupBy(*keys, "customer_code").agg(F.sum("sold_quantity").alias("sold_quantity"))
+    post = sales.select(*keys, "customer_code", F.lit(0.05).cast("decimal(5,4)").alias("discounts_pct"), F.lit(0.01).cast("decimal(5,4)").alias("other_deductions_pct"))
+    t = Tables(**{n: getattr(star, n) for n in ("dim_customer", "dim_product", "fact_gross_price", "fact_pre_invoice_deductions")},
+               fact_sales_monthly=sales, fact_post_invoice_deductions=post)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        early, wide = net_sales_by(t, ["customer", "region"], 1997), sales_by(net_sales(t, 1997), ["customer", "region"], "net_sales")
+        assert sorted(map(tuple, early.collect())) == sorted(map(tuple, wide.collect()))
+        # the attributes join sums per customer, above the first aggregate
+        plan = early._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Aggregate") >= 2
+        counts = [d._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange hashpartitioning") for d in (early, wide)]
+        assert counts[0] <= counts[1], counts
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

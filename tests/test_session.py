@@ -1,11 +1,11 @@
 from revlens.session import ensure_checkpoint_dir, scale_conf
 
 
-def test_checkpoint_dir_is_kept_when_configured(spark):
-    first = ensure_checkpoint_dir(spark)
-    assert first
-    # a second call must reuse the configured folder, never invent another root
-    assert ensure_checkpoint_dir(spark) == first
+def test_no_checkpoint_folder_is_invented(spark):
+    before = spark.sparkContext.getCheckpointDir()
+    assert ensure_checkpoint_dir(spark) == before
+    if "spark.checkpoint.dir" not in dict(spark.sparkContext.getConf().getAll()):
+        assert spark.sparkContext.getCheckpointDir() == before
 
 
 def test_scale_conf_sizes_partitions():
