@@ -143,7 +143,7 @@ def predict(model: dict, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> dict | None:
-    learn = docs.where("lang IS NOT NULL AND text IS NOT NULL AND crc32(cast(doc_id AS string)) % 4 <> 2")
+    learn = docs.select("doc_id", "lang", "text").where("lang IS NOT NULL AND text IS NOT NULL AND crc32(cast(doc_id AS string)) % 4 <> 2")
     thin = learn.select("doc_id", "lang", F.xxhash64("text").alias("h"))
     order = Window.partitionBy("lang").orderBy("h", "doc_id")
     chosen = thin.withColumn("k", F.row_number().over(order)).where(F.col("k") <= per_language).select("doc_id", F.col("lang").alias("lang_learned"))

@@ -229,8 +229,8 @@ def one_of_each(docs: DataFrame, threshold: float = THRESHOLD, target_recall: fl
     Rows with a null doc_id stay. Rows that share an id stay or go together; of rows equal in
     id and text one stays.
     """
-    heads = jaccard_join(docs, threshold, target_recall).where("doc_id = class_id").select(F.col("doc_id").alias("head_id")).distinct()
-    kept = docs.join(heads, F.col("doc_id") == F.col("head_id"), "left_semi").dropDuplicates(["doc_id", "text"])
+    heads = jaccard_join(docs, threshold, target_recall).where("doc_id = class_id").select(F.col("doc_id").alias("near_head_id")).distinct()
+    kept = docs.join(heads, F.col("doc_id") == F.col("near_head_id"), "left_semi").dropDuplicates(["doc_id", "text"])
     return kept.unionByName(docs.where("doc_id IS NULL"))
 
 
