@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from revlens.fixed_values import MILLION, PL_TARGET_LINES, PL_TOTAL_LABEL
 from revlens.functions.arith import blank_add, divide
-from revlens.operators.measures import (base_sums, measures, measures_with_prior, with_benchmark, with_derived,
-                                        with_targets)
+from revlens.operators.measures import (base_sums, measures, measures_with_prior, targets_at, with_benchmark,
+                                        with_derived, with_targets)
 from revlens.operators.output import decimals_to_double
 
 MLN = float(MILLION)
@@ -132,6 +132,27 @@ def pl_drill_ly(fact: DataFrame, levels: list[str], fiscal_year: int) -> DataFra
         "net_profit_pct_ly", "net_sales_bm", "gross_margin_pct_bm", "net_profit_pct_bm"))
 
 
+def pl_drill_target(fact: DataFrame, t, levels: list[str], fiscal_year: int) -> DataFrame:
+    """The drill with the year's targets as the benchmark, for levels of market and region.
+
+    Targets are summed at the leaf level and rolled up like the actuals; a group
+    with targets and no sales keeps a row.
+    """
+    targets = targets_at(t, levels, fiscal_year)
+    if targets is None:
+        raise ValueError("targets exist by fiscal_year, market and region only")
+    leaf = fact.filter(F.col("fiscal_year") == fiscal_year).groupBy(*levels).agg(*base_sums())
+    names = [c for c in [*leaf.columns, *targets.columns] if c not in levels]
+    both = leaf.join(targets, levels, "full_outer")
+    rolled = both.rollup(*levels).agg(F.grouping_id().cast("int").alias("level"), *[F.sum(c).alias(c) for c in names])
+    out = with_derived(rolled).withColumns({
+        "gross_margin_pct_target": divide("gm_target", "ns_target", None),
+        "net_profit_pct_target": divide("np_target", "ns_target", None)})
+    return decimals_to_double(with_benchmark(out, "target").select(
+        *levels, "level", "net_sales", "gross_margin_pct", "net_profit_pct", "net_sales_bm", "gross_margin_pct_bm",
+        "net_profit_pct_bm"))
+
+
 def pl_drill(fact: DataFrame, levels: list[str], fiscal_year: int) -> DataFrame:
     """Key P&L figures at every level of a drill path (e.g. region > market > product).
 

@@ -531,4 +531,15 @@ CAST(net_sales_ly AS DOUBLE) AS net_sales_bm, gross_margin_pct_ly AS gross_margi
             ("leaf", f"SELECT {lv}, {_sums(f'fiscal_year = {FY}')}, {_sums(f'fiscal_year = {FY_PRIOR}', '_ly')} FROM fact_actuals_estimates WHERE fiscal_year IN ({FY}, {FY_PRIOR}) GROUP BY {lv}"),
             ("r", f"SELECT {lv}, GROUPING({lv}) AS level, " + ", ".join(f"SUM({n}{x}) AS {n}{x}" for n, _ in _BASE for x in ("", "_ly")) + f" FROM leaf GROUP BY ROLLUP ({lv})"),
             ("d", f"SELECT *, {_derived()}, {_derived('_ly')} FROM r")])
+    none = "CAST(NULL AS DOUBLE)"
+    q["pl_drill_target"] = with_views(
+        f"""SELECT {lv}, CAST(level AS INT) AS level, CAST(net_sales AS DOUBLE) AS net_sales, gross_margin_pct, net_profit_pct, CAST(ns_target AS DOUBLE) AS net_sales_bm,
+{_div('gm_target', 'ns_target', none)} AS gross_margin_pct_bm, {_div('np_target', 'ns_target', none)} AS net_profit_pct_bm FROM d""",
+        "fact_actuals_estimates", "ns_gm_target", "dim_customer", extra=[
+            ("leaf", f"SELECT {lv}, {_sums()} FROM fact_actuals_estimates WHERE fiscal_year = {FY} GROUP BY {lv}"),
+            ("tg", f"""SELECT m.region, t.market, t.ns_target, t.gm_target, t.np_target FROM ns_gm_target t
+JOIN (SELECT DISTINCT market, region FROM dim_customer) m ON m.market = t.market WHERE t.fiscal_year = {FY}"""),
+            ("both_", "SELECT * FROM leaf FULL JOIN tg USING (region, market)"),
+            ("r", f"SELECT {lv}, GROUPING({lv}) AS level, " + ", ".join(f"SUM({n}) AS {n}" for n in [n for n, _ in _BASE] + ["ns_target", "gm_target", "np_target"]) + f" FROM both_ GROUP BY ROLLUP ({lv})"),
+            ("d", f"SELECT *, {_derived()} FROM r")])
     return q

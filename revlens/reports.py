@@ -259,6 +259,11 @@ def pl_drill_ly(spark, root):
     return PL.pl_drill_ly(_star(spark, root).fact_actuals_estimates, ["region", "market"], FY)
 
 
+def pl_drill_target(spark, root):
+    t = _star(spark, root)
+    return PL.pl_drill_target(t.fact_actuals_estimates, t, ["region", "market"], FY)
+
+
 def revenue_split(spark, root):
     return PG.revenue_split(_star(spark, root).fact_actuals_estimates, ["channel"], FY)
 
@@ -286,5 +291,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     sc_measures, sc_last_year, risk_flags, market_share, own_market_share, pl_rows, pl_matrix,
     pl_matrix_target, pl_drill, performance_matrix, performance_matrix_product, segment_scorecard,
     segment_scorecard_market, revenue_split, revenue_split_division, region_scorecard, kpi_trend,
-    segment_scorecard_market_target, kpi_trend_ly, sc_kpis_customer, sc_kpis_segment, pl_drill_ly,
+    segment_scorecard_market_target, kpi_trend_ly, sc_kpis_customer, sc_kpis_segment, pl_drill_ly, pl_drill_target,
 ]}
