@@ -18,13 +18,13 @@ columns are ignored.
 from __future__ import annotations
 
 import bisect
+import itertools
 import os
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,7 +34,7 @@ from revlens.llm.shared import cut
 
 CAPACITY = 2048
 VOCABULARY = "word_bpe_49k.json"
-CACHED_WORDS = 300_000
+CACHED_WORDS = 250_000
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -43,11 +43,38 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+ALNUM = arrowtext.byte_class(b"abcdefghijklmnopqrstuvwxyz0123456789")
+MARKS = arrowtext.byte_class(b".,;:!?)&*%$#")
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+
+
+def separated(column: pa.Array) -> list[bytes]:
+    """Texts in which equal tokens look alike: ASCII letters lowered, a space between a letter or digit and a mark.
+
+    The vocabulary lowers letters itself and splits there anyway. A text that might hold a
+    special token's name stays as it is.
+    """
+    data, offsets = arrowtext.text_bytes(column)
+    plain = LOWER[data]
+    mark = MARKS[plain]
+    mark[1:] &= ALNUM[plain[:-1]]
+    mark[offsets[:-1][offsets[:-1] < len(mark)]] = False
+    at = np.flatnonzero(mark)
+    blob = np.insert(plain, at, np.uint8(32)).tobytes()
+    moved = (offsets + np.searchsorted(at, offsets)).tolist()
+    texts = [blob[a:b] for a, b in zip(moved[:-1], moved[1:], strict=True)]
+    special = np.flatnonzero((data[:-1] == ord("<")) & (data[1:] == ord("|")))
+    for k in np.unique(np.searchsorted(offsets, special, "right") - 1).tolist():
+        texts[k] = data[offsets[k] : offsets[k + 1]].tobytes()
+    return texts
+
+
 class WordIds(dict):
     """Numbers of words (bytes without ASCII white space), and their token ids.
 
     The vocabulary's splitter never joins characters across white space, so a text's ids are
-    its words' ids in a row; a word is encoded once.
+    its words' ids in a row; a word is encoded once while it is remembered.
     """
 
     def __init__(self, vocabulary: str) -> None:
@@ -55,53 +82,78 @@ class WordIds(dict):
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.fresh: list[bytes] = []
-        self.forget()
-
-    def forget(self) -> None:
-        self.clear()
-        self.flat, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        self.flat, self.sizes, self.uses = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def __missing__(self, word: bytes) -> int:
         number = self[word] = len(self)
         self.fresh.append(word)
         return number
 
+    def forget(self) -> None:
+        """Keep the words that came up three times or more."""
+        kept = self.uses > 2
+        if kept.mean() > 0.5:
+            kept[:] = False
+        words = [w for w, k in zip(self, kept.tolist(), strict=True) if k]
+        self.flat, self.sizes = self.flat[np.repeat(kept, self.sizes)], self.sizes[kept]
+        self.uses = np.ones(len(words), np.int64)
+        self.clear()
+        self.update(zip(words, range(len(words)), strict=True))
+
+    def learn(self, group: int = 500) -> None:
+        """Encode the fresh words, many in one text; a token belongs to the word its offset lies in."""
+        words = [x.decode() for x in self.fresh]
+        groups = [words[k : k + group] for k in range(0, len(words), group)]
+        flat, sizes = [self.flat], [self.sizes]
+        for some, found in zip(groups, self.tokenizer.encode_batch([" ".join(x) for x in groups], add_special_tokens=False), strict=True):
+            ends = np.cumsum([len(x) + 1 for x in some])
+            begins = np.fromiter((a for a, _ in found.offsets), np.int64, len(found.ids))
+            flat.append(np.array(found.ids, np.uint32))
+            sizes.append(np.bincount(np.searchsorted(ends, begins, "right"), minlength=len(some)))
+        self.flat, self.sizes, self.fresh = np.concatenate(flat), np.concatenate(sizes), []
+
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and the number of ids of each text."""
         if len(self) > CACHED_WORDS:
             self.forget()
-        numbers, counts = [], np.zeros(len(texts), np.int64)
-        for k, text in enumerate(texts):
-            split = text.split()
-            counts[k] = len(split)
-            numbers.append(np.fromiter(map(self.__getitem__, split), np.int64, len(split)))
+        split = [text.split() for text in texts]
+        counts = np.array([len(x) for x in split], np.int64)
+        word = np.fromiter(map(self.__getitem__, itertools.chain.from_iterable(split)), np.int64, int(counts.sum()))
         if self.fresh:
-            encoded = [x.ids for x in self.tokenizer.encode_batch([x.decode() for x in self.fresh], add_special_tokens=False)]
-            self.sizes = np.concatenate([self.sizes, np.array([len(x) for x in encoded], np.int64)])
-            self.flat = np.concatenate([self.flat, np.fromiter((i for x in encoded for i in x), np.uint32)])
-            self.fresh = []
-        word = np.concatenate(numbers) if numbers else np.zeros(0, np.int64)
+            self.learn()
+        self.uses = np.concatenate([self.uses, np.zeros(len(self) - len(self.uses), np.int64)]) + np.bincount(word, minlength=len(self))
         sizes = self.sizes[word]
         begin = (np.cumsum(self.sizes) - self.sizes)[word]
-        at = np.cumsum(sizes) - sizes
-        ids = self.flat[np.arange(int(sizes.sum())) + np.repeat(begin - at, sizes)]
-        total = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(counts)])]
-        return ids, np.diff(total)
+        total = np.concatenate([[0], np.cumsum(sizes)])
+        ids = self.flat[np.arange(total[-1]) + np.repeat(begin - total[:-1], sizes)]
+        return ids, np.diff(total[np.concatenate([[0], np.cumsum(counts)])])
+
+
+class Vocabulary:
+    """A vocabulary file's text; its words are remembered by each worker process, across tasks."""
+
+    def __init__(self, text: str) -> None:
+        self.text = text
+        self.words: WordIds | None = None
+
+    def known(self) -> WordIds:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        if self.words is None:
+            self.words = WordIds(self.text)
+        return self.words
 
 
 def pieces(docs: DataFrame, capacity: int, vocabulary: str, end_id: int = 0, with_ids: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 (and ids) of every document, cut at the capacity only."""
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
     with open(vocabulary, encoding="utf-8") as file:
-        shipped = docs.sparkSession.sparkContext.broadcast(file.read())
+        shipped = docs.sparkSession.sparkContext.broadcast(Vocabulary(file.read()))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        known = WordIds(shipped.value)
+        known = shipped.value.known()
         for batch in batches:
             for part in arrowtext.slices(batch, "text"):
-                texts = pc.fill_null(part.column("text"), "").cast(pa.binary()).to_pylist()
-                ids, sizes = known.encode(texts)
+                ids, sizes = known.encode(separated(part.column("text")))
                 last = np.cumsum(sizes)
                 ids = np.insert(ids, last, np.uint32(end_id)).astype("<u4")
                 sizes = sizes + 1
