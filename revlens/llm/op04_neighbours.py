@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from revlens.llm.shared import cut
+from revlens.llm.shared import cut, smallest
 
 K = 10
 EVERY = 100
@@ -174,9 +174,10 @@ def neighbours(vectors: DataFrame, k: int = K, every: int = EVERY, recall: float
     spark = vectors.sparkSession
     result = "query_id long, rank int, vec_id long, score double"
     points = usable(vectors)
-    chosen = points.orderBy(F.xxhash64("id"), "id").limit(sample).collect()
+    chosen = smallest(points, F.xxhash64("id"), sample).collect()
     if not chosen:
         return spark.createDataFrame([], result)
+    chosen.sort(key=lambda r: (r["id"], r["vec"]))
     fitted = np.array([r["vec"] for r in chosen])
     tree = Tree(fitted, max(1, min(leaves, len(fitted) // 16)), branch)
     shipped = spark.sparkContext.broadcast(tree)
@@ -189,7 +190,7 @@ def neighbours(vectors: DataFrame, k: int = K, every: int = EVERY, recall: float
     indexed = cut(points.mapInArrow(index, "id long, leaf int, point binary"))
     asked = points.where(F.col("id") % every == 0).dropDuplicates(["id"])
 
-    tried = asked.orderBy(F.xxhash64("id"), "id").limit(calibration).collect()
+    tried = smallest(asked, F.xxhash64("id"), calibration).collect()
     if not tried:
         return spark.createDataFrame([], result)
     tried_ids, tried_vectors = np.array([r["id"] for r in tried]), np.array([r["vec"] for r in tried])

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revlens.llm import arrowtext
+from revlens.llm.shared import smallest
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_DOCS = 1000
@@ -251,9 +252,8 @@ def find(texts: list[str], weights: dict[str, np.ndarray] | None) -> tuple[list[
 
 def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> dict[str, np.ndarray] | None:
     """Weights from the bounded sample stated above."""
-    sample = docs.where(F.col("text").rlike("[0-9@]") & (F.length("text") <= sample_chars))
-    rows = sample.select("text", F.xxhash64("text").alias("h")).orderBy("h", "text").limit(sample_docs).collect()
-    return fit([x["text"] for x in rows])
+    some = docs.select("text").where(F.col("text").rlike("[0-9@]") & (F.length("text") <= sample_chars))
+    return fit(sorted(x["text"] for x in smallest(some, F.xxhash64("text"), sample_docs).collect()))
 
 
 def interesting(part: pa.RecordBatch) -> list[str]:

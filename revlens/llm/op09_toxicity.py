@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from revlens.llm import arrowtext
 from revlens.llm.op08_jaccard import distinct_per_text
+from revlens.llm.shared import smallest
 
 FEATURES = 1 << 20
 SAMPLE = 12_000
@@ -126,7 +127,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, swap_weight: float = SWAP_WE
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, float] | None:
     """The classifier from at most `sample` labelled rows; None without any."""
     learn = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL AND crc32(cast(doc_id AS string)) % 5 <> 0")
-    learn = learn.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    learn = smallest(learn.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), F.xxhash64("doc_id"), sample)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
