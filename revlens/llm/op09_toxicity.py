@@ -73,12 +73,32 @@ def swapped(present: np.ndarray, identity: np.ndarray, seed: int) -> np.ndarray
     return np.unique(np.concatenate([present[~named], identity[(at + shift) % len(identity)]]))
 
 
+def telling(flat: np.ndarray, owner: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Which places have a share of toxic texts furthest from the mean; one seen once or twice says nothing."""
+    seen, toxic, block = np.zeros(FEATURES), np.zeros(FEATURES), 1 << 20
+    for low in range(0, len(flat), block):  # counting copies what it counts
+        part, bad = flat[low : low + block], labels[owner[low : low + block]] > 0
+        seen += np.bincount(part, minlength=FEATURES)
+        toxic += np.bincount(part[bad], minlength=FEATURES)
+    mean = labels.mean()
+    away = np.abs(toxic - seen * mean) / np.sqrt(seen * mean * (1 - mean) + 1e-9)
+    away[seen < 3] = 0
+    chosen = np.zeros(FEATURES, bool)
+    chosen[np.argsort(-away, kind="stable")[:SELECTED]] = True
+    return chosen & (away > 0)
+
+
 def fit(rows: list[np.ndarray], labels: np.ndarray, swap_weight: float = SWAP_WEIGHT, rounds: int = 200, rate: float = 0.3, sparse: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Weights by feature place and the intercept."""
+    """Weights by feature place and the intercept; `rows` are the distinct places of each text, ascending."""
     if labels.min() == labels.max():
         return np.zeros(FEATURES, np.float32), 6.0 if labels[0] else -6.0
-    identity = identity_places()
-    n = len(rows)
+    n, identity = len(rows), identity_places()
+    sizes = [len(x) for x in rows]
+    flat, owner = np.concatenate(rows).astype(np.int32), np.repeat(np.arange(n, dtype=np.int32), sizes)
+    used = telling(flat, owner, labels)
+    used[identity] = True
+    known = np.flatnonzero(used)
+    rows = [x[used[x]] for x in rows]
     copies, origin = [], []
     for k, row in enumerate(rows):
         for s in range(SWAPS):
@@ -87,19 +107,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, swap_weight: float = SWAP_WE
                 origin.append(k)
     every = [*rows, *copies]
     owner = np.repeat(np.arange(len(every)), [len(x) for x in every])
-    known, column = np.unique(np.concatenate([*every, np.zeros(0, np.int64)]).astype(np.int64), return_inverse=True)
-    # the features whose share of toxic texts is furthest from the mean; a word seen once or twice says nothing
-    real = owner < n
-    seen = np.bincount(column[real], minlength=len(known))
-    mean = labels.mean()
-    away = np.abs(np.bincount(column[real], labels[owner[real]], len(known)) - seen * mean) / np.sqrt(seen * mean * (1 - mean) + 1e-9)
-    away[seen < 3] = 0
-    often = np.zeros(len(known), bool)
-    often[np.argsort(-away, kind="stable")[:SELECTED]] = True
-    often = often & (away > 0) | np.isin(known, identity)
-    renumber = np.cumsum(often) - 1
-    keep = often[column]
-    owner, column, known = owner[keep], renumber[column[keep]], known[often]
+    column = np.searchsorted(known, np.concatenate(every))
     origin = np.array(origin, np.int64)
     w, b = np.zeros(len(known)), float(np.log((labels.sum() + 1) / (n - labels.sum() + 1)))
     sums, sum_b = np.full(len(known), 1e-6), 1e-6
@@ -143,7 +151,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.
     rows.sort(key=lambda x: x["doc_id"])
     if not rows:
         return None
-    return fit([np.frombuffer(x["words"], np.int32).astype(np.int64) for x in rows], np.array([x["toxic"] > 0 for x in rows], float))
+    return fit([np.frombuffer(x["words"], np.int32) for x in rows], np.array([x["toxic"] > 0 for x in rows], float))
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float] | None) -> DataFrame:
