@@ -45,18 +45,18 @@ def with_prior_period(agg: DataFrame, dims: list[str], period: str, columns: lis
     def null(c: str) -> Column:
         return F.lit(None).cast(types[c])
 
-    current = F.struct(*[F.col(d).alias(d) for d in dims], F.lit(1).alias("__current"),
+    current = F.struct(*[F.col(d).alias(d) for d in dims],
                        *[F.col(c).alias(c) for c in columns],
                        *[null(c).alias(c + suffix) for c in columns])
-    prior = F.struct(*[shift.get(d, F.col(d)).alias(d) for d in dims], F.lit(0).alias("__current"),
+    prior = F.struct(*[shift.get(d, F.col(d)).alias(d) for d in dims],
                      *[null(c).alias(c) for c in columns],
                      *[F.col(c).alias(c + suffix) for c in columns])
     # each (dims) group receives at most one current and one prior row, so
     # max() just picks the non-null value and keeps its type
     merged = (agg.select(F.inline(F.array(current, prior)))
               .groupBy(*dims)
-              .agg(F.max("__current").alias("__current"),
-                   *[F.max(c).alias(c) for c in columns],
+              .agg(*[F.max(c).alias(c) for c in columns],
                    *[F.max(c + suffix).alias(c + suffix) for c in columns]))
-    known = merged.filter(F.col("__current") == 1).select(period).distinct()
-    return merged.drop("__current").join(known, period, "left_semi").select(*dims, *columns, *[c + suffix for c in columns])
+    # needs the period column only, so its scan reads no amounts
+    known = agg.select(period).distinct()
+    return merged.join(known, period, "left_semi").select(*dims, *columns, *[c + suffix for c in columns])
