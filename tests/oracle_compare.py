@@ -20,7 +20,7 @@ import __spark_entry__ as entry  # noqa: E402,F401
 from revlens.sources.raw import TABLES  # noqa: E402
 
 
-_DUCK_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "DATE": "date"}
+_DUCK_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "DATE": "date", "BOOLEAN": "boolean"}
 
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
