@@ -1,18 +1,23 @@
 """License scans by conditional compression.
 
-Candidate blocks are the lines of a text that hold a licensing cue, joined with the next ones
-while cues go on; a very long line gives windows around its cues. Each block is compressed
-alone and with every license template as a raw Zstandard dictionary. Templates are ranked by
-how much they shorten the block; the best `RANKED` are confirmed by exact wording: the words
-(lower case, punctuation aside) of template and block are aligned, and the words missing from
-the template or put between its words are counted. A block is confirmed as the template with
-the fewest differences if these are `MAX_DIFFERENT` percent of the template's words or fewer and
-no number in the template differs (a version is never guessed); otherwise it is reported as unconfirmed
-when the reduction is `MIN_REDUCTION` percent or more, and dropped if less.
-
-Defined results: one row per reported block of every input row, so repeated rows repeat; null
-and empty texts give none; null ids stay; ties go to the smaller share of differences, then to
-the larger reduction, then to the template first in the alphabet; extra columns are ignored.
+Notices are looked for in the text around every licensing cue, as far as twice the longest
+template reaches, over line ends, blank lines and comment marks. A template is tried wherever
+enough of its words lie close together, and confirmed by exact wording: the words (lower case,
+punctuation aside) of template and text are aligned, and the words missing from the template or
+put between its words are counted. A span is confirmed as the template with the fewest
+differences if these are `MAX_DIFFERENT` percent of the template's words or fewer and no number
+in the template differs (a version is never guessed); a confirmed span that lies inside a wider
+one gives way to it. One span is confirmed in each such part.
+
+What remains of the lines with a cue, joined with the next ones while cues go on (a very long
+line gives windows around its cues), is compressed alone and with every license template as a
+raw Zstandard dictionary; the `RANKED` templates that shorten it most are aligned, and it is
+reported as unconfirmed when the reduction is `MIN_REDUCTION` percent or more, and dropped if less.
+
+Defined results: one row per confirmed span and reported remainder of every input row, so repeated
+rows repeat; null and empty texts give none; null ids stay; bytes and reduction are those of the
+span or remainder; ties go to the smaller share of differences, then to the larger reduction, then
+to the template first in the alphabet; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -78,8 +83,11 @@ TEMPLATES = {
     "all-rights-reserved": "All rights reserved.",
 }
 
-#: Words that open a block.
-CUES = ("licen[cs]e", "copyright", "spdx", "permission is hereby", "redistribut", "all rights reserved", "creative commons", "public domain", "warrant")
+#: Words that open a block; a line may end between two of them.
+CUES = (
+    "licen[cs]e", "copyright", "spdx", r"permission\W+is\W+hereby", "redistribut", r"all\W+rights\W+reserved", r"creative\W+commons",
+    r"public\W+domain", "warrant",
+)
 CUE = re.compile("|".join(CUES), re.IGNORECASE)
 WORD = re.compile(r"[^\W_]+(?:\.[0-9]+)*")
 SCHEMA = (
@@ -98,6 +106,7 @@ class Scanner:
             dictionary = zstandard.ZstdCompressionDict(text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             self.primed[name] = zstandard.ZstdCompressor(level=level, dict_data=dictionary, write_content_size=False, write_dict_id=False)
             self.words[name] = [x.lower() for x in WORD.findall(text)]
+        self.reach = 2 * max(map(len, templates.values()), default=0)
 
     def ranked(self, block: str) -> tuple[int, list[tuple[int, str]]]:
         """Size alone, and (size with the template, template), smallest first."""
@@ -118,6 +127,86 @@ class Scanner:
                 out += [f"-{x}" for x in wanted[i:j]] + [f"+{x}" for x in found[first:last][p:q]]
         return out, first, last
 
+    def aligned(self, name: str, found: list[str]) -> tuple[list[str], int, int]:
+        """As `differences`, of the part of `found` that has the fewest: words matched by chance before or after it are left."""
+        wanted = self.words[name]
+        match = [m for m in difflib.SequenceMatcher(None, wanted, found, autojunk=False).get_matching_blocks() if m.size]
+        if not match:
+            return self.differences(name, found)
+        # differences of the part from block i to block k: lead[i] + gaps[k] - gaps[i] + tail[k]
+        gaps = [0]
+        for x, y in zip(match, match[1:]):
+            gaps.append(gaps[-1] + y.a - x.a - x.size + y.b - x.b - x.size)
+        best, k_first = None, 0
+        for k, m in enumerate(match):
+            if m.a - gaps[k] < match[k_first].a - gaps[k_first]:
+                k_first = k
+            cost = match[k_first].a - gaps[k_first] + gaps[k] + len(wanted) - m.a - m.size
+            if best is None or cost < best[0]:
+                best = cost, match[k_first].b, m.b + m.size
+        _, low, high = best
+        changed, first, last = self.differences(name, found[low:high])
+        return changed, low + first, low + last
+
+    def near(self, name: str, found: list[str]) -> list[tuple[int, int]]:
+        """Parts of `found` outside which the template cannot be confirmed: stretches as long as
+        a confirmed span may be that hold as many of its words as one must."""
+        wanted, known = self.words[name], set(self.words[name])
+        extra = MAX_DIFFERENT * len(wanted) // 100
+        long, least = len(wanted) + extra, len(wanted) - extra
+        held = [0]
+        for x in found:
+            held.append(held[-1] + (x in known))
+        out: list[list[int]] = []
+        for j in range(len(found)):
+            end = min(j + long, len(found))
+            if held[end] - held[j] >= least:
+                if out and j <= out[-1][1]:
+                    out[-1][1] = end
+                else:
+                    out.append([j, end])
+        return [(a, b) for a, b in out]
+
+    def confirmed(self, text: str, tokens: list[tuple[str, int, int]]) -> Iterator[tuple]:
+        """Rows of all confirmed spans among the tokens (word, start, end) of a text."""
+        todo = [(0, len(tokens))]
+        while todo:
+            low, high = todo.pop()
+            found = [x[0] for x in tokens[low:high]]
+            options = []
+            for name, wanted in self.words.items():
+                for p, q in self.near(name, found):
+                    changed, first, last = self.aligned(name, found[p:q])
+                    number = any(c[1:].replace(".", "").isdigit() for c in changed)
+                    if last > first and not number and 100 * len(changed) <= MAX_DIFFERENT * len(wanted):
+                        a, b = tokens[low + p + first][1], tokens[low + p + last - 1][2]
+                        data = text[a:b].encode()
+                        size, plain = len(self.primed[name].compress(data)), len(self.plain.compress(data))
+                        options.append((len(changed) / len(wanted), size, name, p + first, p + last, (a, b, name, True, plain, size, 100 * (plain - size) / plain, len(changed), " ".join(changed))))
+            if not options:
+                continue
+            wide = [x for x in options if not any(y[3] <= x[3] and x[4] <= y[4] and y[4] - y[3] > x[4] - x[3] for y in options)]
+            *_, first, last, row = min(wide, key=lambda x: x[:4])
+            yield row
+
+    def rows(self, text: str) -> list[tuple]:
+        """All confirmed spans of a text, and what is reported of its other blocks."""
+        around: list[list[int]] = []
+        for m in CUE.finditer(text):
+            a, b = max(0, m.start() - self.reach), min(len(text), m.end() + self.reach)
+            if around and a <= around[-1][1]:
+                around[-1][1] = b
+            else:
+                around.append([a, b])
+        out = [row for a, b in around for row in self.confirmed(text, [(m[0].lower(), *m.span()) for m in WORD.finditer(text, a, b)])]
+        known = sorted(row[:2] for row in out)
+        for a, b in blocks(text):
+            for first, last in [*known, (b, b)]:
+                if a < min(first, b) and CUE.search(text, a, min(first, b)) and (judged := self.judge(text, a, min(first, b))):
+                    out.append(judged)
+                a = max(a, last)
+        return sorted(out, key=lambda x: x[:3])
+
     def judge(self, text: str, begin: int, end: int) -> tuple | None:
         block = text[begin:end]
         plain, order = self.ranked(block)
@@ -166,9 +255,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
                 part = part.filter(pc.fill_null(cued, False))
                 rows = []
                 for doc, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
-                    for a, b in blocks(text or ""):
-                        if judged := scanner.judge(text, a, b):
-                            rows.append((doc, *judged))
+                    rows += [(doc, *row) for row in scanner.rows(text or "")]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, kinds[x.split()[1]]) for c, x in zip(zip(*rows, strict=True), SCHEMA.split(", "), strict=True)], names)
 

@@ -5,6 +5,7 @@ import collections
 import itertools
 import random
 import re
+import textwrap
 import zlib
 
 import duckdb
@@ -336,3 +337,16 @@ def test_pipeline_against_brute_force(spark, documents):
     mixed = stages["mixing"](spark, private, SF)
     count = collections.Counter(r["doc_id"] for r in mixed.select("doc_id").collect())
     assert set(count) == heads and max(count.values()) <= 2
+
+
+def confirmed_licenses(text):
+    return [(r[2], r[7]) for r in op01_license.Scanner(op01_license.TEMPLATES).rows(text) if r[3]]
+
+
+@pytest.mark.parametrize("mark", ["", "# ", " * "])
+@pytest.mark.parametrize("name", sorted(op01_license.TEMPLATES))
+def test_wrapped_license_notices_are_confirmed(name, mark):
+    words = op01_license.TEMPLATES[name].replace("http", "\n\nhttp").replace("Unless", "\n\nUnless").replace(": Redis", ":\n\nRedis")
+    lines = [line for part in words.split("\n") for line in textwrap.wrap(part, 72) or [""]]
+    text = "Some prose about the work and what it is for.\n\n" + "\n".join(mark + line for line in lines) + "\n\nThe next part of the text, with more of it.\n"
+    assert confirmed_licenses(text) == [(name, 0)]
