@@ -7,7 +7,8 @@ punctuation aside) of template and text are aligned, and the words missing from
 put between its words are counted. A span is confirmed as the template with the fewest
 differences if these are `MAX_DIFFERENT` percent of the template's words or fewer and no number
 in the template differs (a version is never guessed); a confirmed span that lies inside a wider
-one gives way to it. One span is confirmed in each such part.
+one gives way to it. The text before and after a confirmed span is searched again until nothing
+is left to confirm.
 
 What remains of the lines with a cue, joined with the next ones while cues go on (a very long
 line gives windows around its cues), is compressed alone and with every license template as a
@@ -188,6 +189,7 @@ class Scanner:
             wide = [x for x in options if not any(y[3] <= x[3] and x[4] <= y[4] and y[4] - y[3] > x[4] - x[3] for y in options)]
             *_, first, last, row = min(wide, key=lambda x: x[:4])
             yield row
+            todo += [(low, low + first), (low + last, high)]
 
     def rows(self, text: str) -> list[tuple]:
         """All confirmed spans of a text, and what is reported of its other blocks."""

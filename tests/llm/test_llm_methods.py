@@ -350,3 +350,12 @@ def test_wrapped_license_notices_are_confirmed(name, mark):
     lines = [line for part in words.split("\n") for line in textwrap.wrap(part, 72) or [""]]
     text = "Some prose about the work and what it is for.\n\n" + "\n".join(mark + line for line in lines) + "\n\nThe next part of the text, with more of it.\n"
     assert confirmed_licenses(text) == [(name, 0)]
+
+
+@pytest.mark.parametrize("between", [" ", "\n", "\n\n", ". See the files. "])
+def test_every_license_of_a_block_is_confirmed(between):
+    names = ["MIT", "CC-BY-4.0", "GPL-3.0-header", "Apache-2.0", "MIT"]
+    for count in (2, 3, 5):
+        text = between.join(op01_license.TEMPLATES[n] for n in names[:count])
+        assert confirmed_licenses(text) == [(n, 0) for n in names[:count]]
+        assert confirmed_licenses("word " * 600 + text + " word" * 600) == [(n, 0) for n in names[:count]]
