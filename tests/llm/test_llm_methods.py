@@ -359,3 +359,45 @@ def test_every_license_of_a_block_is_confirmed(between):
         text = between.join(op01_license.TEMPLATES[n] for n in names[:count])
         assert confirmed_licenses(text) == [(n, 0) for n in names[:count]]
         assert confirmed_licenses("word " * 600 + text + " word" * 600) == [(n, 0) for n in names[:count]]
+
+
+def random_words(rng, n):
+    return [f"w{rng.randrange(1_000_000)}" for _ in range(n)]
+
+
+@pytest.mark.parametrize("times", [2, 3])
+@pytest.mark.parametrize("repeats_first", [True, False])
+def test_passage_held_several_times_by_one_document(spark, repeats_first, times):
+    rng, texts, want = random.Random(8), [], set()
+    for k in range(20):
+        passage = random_words(rng, 60)
+        once = random_words(rng, 100) + passage + random_words(rng, 100)
+        often = [w for _ in range(times) for w in random_words(rng, 400) + passage] + random_words(rng, 100)
+        first, second = (often, once) if repeats_first else (once, often)
+        texts += [(2 * k, " ".join(first)), (2 * k + 1, " ".join(second))]
+        want |= {(2 * k + (not repeats_first), 400 + 460 * t) for t in range(times)} | {(2 * k + repeats_first, 100)}
+    for partitions in (1, 3):
+        out = op10_passages.passages(spark.createDataFrame(texts, "doc_id long, text string").repartition(partitions)).collect()
+        assert {(r["doc_id"], r["start_word"]) for r in out} == want
+        assert all(r["end_word"] - r["start_word"] == 60 for r in out)
+
+
+def test_links_are_the_same_however_rows_are_batched():
+    rng = random.Random(3)
+    for _ in range(200):
+        rows, docs = [], list(range(rng.randrange(1, 6)))
+        for key in (64, 128):
+            left = docs.copy()
+            rng.shuffle(left)
+            while left:
+                own = [left.pop() for _ in range(min(len(left), rng.randrange(1, 3)))]
+                rows.append((key, np.array([(d, 100 * i, 100 * i - 9, 100 * i + 9) for d in sorted(own) for i in range(rng.randrange(1, 4))], op10_passages.MEMBER).tobytes()))
+        whole = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["key", "members"])
+        single = [whole.slice(k, 1) for k in range(whole.num_rows)]
+        got = [sorted(map(str, itertools.chain(*(b.to_pylist() for b in op10_passages.link_task(iter(x)))))) for x in ([whole], single)]
+        assert set(got[0]) == set(got[1])
+        for key in (64, 128):  # every member of a key with two documents has a link
+            members = np.concatenate([np.frombuffer(r[1], op10_passages.MEMBER) for r in rows if r[0] == key])
+            if len(set(members["doc"])) > 1:
+                links = [x for b in op10_passages.link_task(iter([whole.filter(pa.array([r[0] == key for r in rows]))])) for x in b.to_pylist()]
+                assert {(m["doc"], m["c"]) for m in members} == {(x["a"], x["ca"]) for x in links} | {(x["b"], x["cb"]) for x in links}
