@@ -401,3 +401,21 @@ def test_links_are_the_same_however_rows_are_batched():
             if len(set(members["doc"])) > 1:
                 links = [x for b in op10_passages.link_task(iter([whole.filter(pa.array([r[0] == key for r in rows]))])) for x in b.to_pylist()]
                 assert {(m["doc"], m["c"]) for m in members} == {(x["a"], x["ca"]) for x in links} | {(x["b"], x["cb"]) for x in links}
+
+
+def planted_recall(spark, words, edits, pairs, seed):
+    """Share of planted near copies of `words` words, edited at the places `edits`, that are found; and their similarity."""
+    rng, texts = random.Random(seed), []
+    for k in range(pairs):
+        passage = random_words(rng, words)
+        copy = [random_words(rng, 1)[0] if i in edits else w for i, w in enumerate(passage)]
+        texts += [(2 * k + j, " ".join(random_words(rng, 60) + p + random_words(rng, 60))) for j, p in enumerate((passage, copy))]
+    hit = {i + j for i in edits for j in range(-4, 1)} & set(range(words - 4))
+    out = op10_passages.passages(spark.createDataFrame(texts, "doc_id long, text string")).select("doc_id").distinct().count()
+    return out / len(texts), (words - 4 - len(hit)) / (words - 4 + len(hit))
+
+
+def test_recall_of_near_copies_at_the_threshold(spark):
+    assert op10_passages.choose_hashes(0.8, 0.998) == 6 and op10_passages.choose_hashes(0.8, 0.999, 1) == 5
+    recall, similarity = planted_recall(spark, 50, {25}, 2000, 11)
+    assert 0.8 <= similarity < 0.81 and recall >= 0.998
