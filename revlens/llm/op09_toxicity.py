@@ -1,11 +1,11 @@
 """Toxicity: a linear classifier on words, regularised with counterfactual identity swaps.
 
 A text is its set of words (lower case; ASCII letters, digits, underscore or code points beyond
-ASCII) and of their stems (the first `STEMS` bytes of longer words), hashed to `FEATURES` places. The classifier is a logistic regression with a sparse
+ASCII) and of their stems (the first `STEMS` bytes of longer words that are no identity terms), hashed to `FEATURES` places. The classifier is a logistic regression with a sparse
 penalty, fitted on a bounded sample: the `SAMPLE` labelled rows with the smallest id hash among
 those whose crc32(doc_id as text) mod 5 is not 0. Every sampled text that names a group is
-copied with its identity terms swapped for others of the list, and the squared change of the
-score between original and copies is penalised, so that a neutral mention does not raise it.
+copied with its identity terms (plurals too) swapped for others of the list; as these have no
+stems, swapped places are those of the swapped text. The squared change of the score between original and copies is penalised, so that a neutral mention does not raise it.
 Scoring reads whole texts and nothing else.
 
 Defined results: one row per input row; null and empty texts get the score of a text without a
@@ -40,15 +40,30 @@ IDENTITY_TERMS = (
     "african", "european", "latino", "arab", "american", "indian", "chinese", "mexican", "immigrant", "refugee", "gay",
     "lesbian", "bisexual", "straight", "transgender", "female", "male", "women", "men", "disabled", "blind", "deaf", "old", "young",
 )
+IDENTITY_TERMS += tuple(
+    f"{x}s" for x in (
+        "christian", "muslim", "hindu", "buddhist", "atheist", "catholic", "protestant", "black", "white", "asian", "african", "european", "latino",
+        "arab", "american", "indian", "mexican", "immigrant", "refugee", "gay", "lesbian", "bisexual", "straight", "female", "male",
+    )
+)
+
+
+def identity_hashes() -> np.ndarray:
+    """Word hashes of the identity terms, ascending."""
+    data, offsets = arrowtext.text_bytes(pa.array(IDENTITY_TERMS))
+    starts, ends, _ = arrowtext.words(data, offsets, arrowtext.WORD_BYTES)
+    return np.unique(arrowtext.word_hashes(data, starts, ends))
 
 
 def places(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Feature places of every word and of its stems, and their text numbers (ascending)."""
+    """Feature places of every word and, identity terms aside, of its stems, and their text numbers (ascending)."""
     data, offsets = arrowtext.text_bytes(texts, lower=True)
     starts, ends, text = arrowtext.words(data, offsets, arrowtext.WORD_BYTES)
     found, owner = [arrowtext.word_hashes(data, starts, ends)], [text]
+    identity = identity_hashes()
+    stemmed = identity[np.searchsorted(identity[:-1], found[0])] != found[0]
     for size in STEMS:
-        longer = ends - starts > size
+        longer = stemmed & (ends - starts > size)
         found.append(arrowtext.mix(arrowtext.word_hashes(data, starts[longer], starts[longer] + size) + np.uint64(size)))
         owner.append(text[longer])
     owner = np.concatenate(owner)
@@ -57,10 +72,8 @@ def places(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def identity_places() -> np.ndarray:
-    """Places of the identity terms themselves (of their stems none)."""
-    data, offsets = arrowtext.text_bytes(pa.array(IDENTITY_TERMS))
-    starts, ends, _ = arrowtext.words(data, offsets, arrowtext.WORD_BYTES)
-    return np.unique((arrowtext.word_hashes(data, starts, ends) % np.uint64(FEATURES)).astype(np.int64))
+    """Places of the identity terms."""
+    return np.unique((identity_hashes() % np.uint64(FEATURES)).astype(np.int64))
 
 
 def swapped(present: np.ndarray, identity: np.ndarray, seed: int) -> np.ndarray | None:

@@ -419,3 +419,19 @@ def test_recall_of_near_copies_at_the_threshold(spark):
     assert op10_passages.choose_hashes(0.8, 0.998) == 6 and op10_passages.choose_hashes(0.8, 0.999, 1) == 5
     recall, similarity = planted_recall(spark, 50, {25}, 2000, 11)
     assert 0.8 <= similarity < 0.81 and recall >= 0.998
+
+
+def test_whole_scores_of_groups_differ_little():
+    rng, texts, toxic = random.Random(6), [], []
+    for k in range(900):
+        bad = k % 3 == 0
+        group = rng.choice(["muslim", "muslims"]) if rng.random() < (0.9 if bad else 0.1) else rng.choice(["christian", "christians"])
+        texts.append(f"the {group} people here " + " ".join(rng.choices(["vile", "scum", "filth"] if bad else ["kind", "calm", "glad"], k=1) + rng.choices(["one", "two", "day", "work"], k=6)))
+        toxic.append(bad)
+    rows = [np.unique(op09_toxicity.places(pa.array([t]))[0]) for t in texts]
+    gaps = []
+    for weight in (0.0, 1.0):
+        w, _ = op09_toxicity.fit(rows, np.array(toxic, float), swap_weight=weight)
+        total = [w[np.unique(op09_toxicity.places(pa.array([t]))[0])].sum() for t in ("the muslim people", "the christian people", "the muslims here", "the christians here")]
+        gaps.append((total[0] - total[1], total[2] - total[3]))
+    assert min(gaps[0]) > 0.5 and max(map(abs, gaps[1])) < 0.25 * min(gaps[0])
