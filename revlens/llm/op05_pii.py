@@ -9,7 +9,7 @@ are clamped to their kind, loopy sum-product messages settle the rest, and token
 marginal for a kind is `MIN_MARGINAL` or more become added spans (never overlapping a base one).
 Repeated tokens are joined in a row, occurrence to next occurrence, so edges grow with tokens.
 
-The weights are fitted by pseudo-likelihood on a bounded sample: the `SAMPLE_DOCS` documents
+The weights are fitted by pseudo-likelihood on a bounded sample: the `SAMPLE_DOCS` distinct texts
 with the smallest text hash among those of up to `SAMPLE_CHARS` characters holding a digit or
 "@", labelled by the base patterns.
 
@@ -252,8 +252,11 @@ def find(texts: list[str], weights: dict[str, np.ndarray] | None) -> tuple[list[
 
 def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> dict[str, np.ndarray] | None:
     """Weights from the bounded sample stated above."""
-    some = docs.select("text").where(F.col("text").rlike("[0-9@]") & (F.length("text") <= sample_chars))
-    return fit(sorted(x["text"] for x in smallest(some, F.xxhash64("text"), sample_docs).collect()))
+    some = docs.select("text", F.xxhash64("text").alias("hash")).where(F.col("text").rlike("[0-9@]") & (F.length("text") <= sample_chars))
+    # hashes first, without copies; the sample is bounded, so it may be broadcast
+    chosen = smallest(some.select("hash").distinct(), F.col("hash"), sample_docs)
+    texts = some.join(F.broadcast(chosen), "hash").groupBy("hash").agg(F.min("text").alias("text"))
+    return fit(sorted(x["text"] for x in texts.collect()))
 
 
 def interesting(part: pa.RecordBatch) -> list[str]:

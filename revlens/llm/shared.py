@@ -28,7 +28,7 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def smallest(df: DataFrame, key: Column, count: int) -> DataFrame:
-    """The `count` rows of `df` with the smallest values of `key`, a 64-bit hash; a bounded sample.
+    """The `count` rows of `df` with the smallest values of `key`, a 64-bit hash that no two rows share; a bounded sample.
 
     All but about four times as many rows are left out where they lie, by a bound on the hash
     that follows from their number, so that no task hands `count` rows of its own to one place.

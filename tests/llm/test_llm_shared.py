@@ -5,7 +5,7 @@ import random
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from revlens.llm import arrowtext
+from revlens.llm import arrowtext, op05_pii
 from revlens.llm.shared import components, smallest
 
 
@@ -47,3 +47,13 @@ def test_words_hash_alike_wherever_they_are():
     assert len({(w, h) for w, h in zip(found, hashes.tolist(), strict=True)}) == len(set(hashes.tolist())) == 4
     sh, owner = arrowtext.shingles(hashes, text, len(texts), 3)
     assert owner.tolist() == [2, 3, 3, 5] and len(set(sh.tolist())) == 4
+
+
+def test_personal_data_is_learned_from_distinct_texts(spark, monkeypatch):
+    texts = [f"call {k}55-0100 or write to a{k}@b.org" for k in range(30)]
+    few = spark.createDataFrame([(t,) for t in texts], "text string")
+    many = few.unionByName(spark.range(3000).select(F.lit(texts[3]).alias("text")))
+    monkeypatch.setattr(op05_pii, "fit", lambda chosen: chosen)
+    for count in (10, 100):
+        assert op05_pii.train(many, count) == op05_pii.train(few, count)
+        assert len(set(op05_pii.train(many, count))) == min(count, 30)
