@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from revlens.llm import op01_license, op02_packing, op03_quality, op04_neighbours, op05_pii, op06_mixing, op07_language, op08_jaccard, op09_toxicity, op10_passages
+from revlens.llm import op01_license, op02_packing, op03_quality, op04_neighbours, op05_pii, op06_mixing, op07_language, op08_jaccard, op09_toxicity, op10_passages, op12_simhash
 
 QUERIES = {
     "op1_license_scan": op01_license.op1_license_scan,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_ngram_jaccard": op08_jaccard.op8_ngram_jaccard,
     "op9_counterfactual_toxicity": op09_toxicity.op9_counterfactual_toxicity,
     "op10_compact_windows": op10_passages.op10_compact_windows,
+    "op12_multi_index_simhash": op12_simhash.op12_multi_index_simhash,
 }
 
 ORACLES = {
