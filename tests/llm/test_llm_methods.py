@@ -30,7 +30,8 @@ def documents():
 def test_sql_oracle(spark, name):
     got = registry.QUERIES[name](spark, SF).toPandas()
     con = duckdb.connect()
-    con.execute(f"create view documents as select * from '{SF}/documents.parquet'")
+    for table in ("documents", "benchmark"):
+        con.execute(f"create view {table} as select * from '{SF}/{table}.parquet'")
     want = con.execute(registry.ORACLES[name]).df()[list(got.columns)]
     assert sorted(map(str, got.itertuples(index=False, name=None))) == sorted(map(str, want.itertuples(index=False, name=None)))
 
@@ -314,7 +315,8 @@ def test_pipeline_against_brute_force(spark, documents):
     stages = dict(corpus_pipeline.STAGES)
     good = stages["quality"](spark, docs, SF).cache()
     con = duckdb.connect()
-    con.execute(f"create view documents as select * from '{SF}/documents.parquet'")
+    for table in ("documents", "benchmark"):
+        con.execute(f"create view {table} as select * from '{SF}/{table}.parquet'")
     want = {r[0] for r in con.execute(f"select doc_id from ({op03_quality.ORACLE}) where kept").fetchall()}
     assert {r["doc_id"] for r in good.select("doc_id").collect()} == want
     single = stages["near_duplicates"](spark, good, SF).cache()
