@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from revlens.llm import op01_license, op02_packing, op03_quality, op04_neighbours, op05_pii, op06_mixing, op07_language, op08_jaccard, op09_toxicity, op10_passages, op11_balltree, op12_simhash
+from revlens.llm import op01_license, op02_packing, op03_quality, op04_neighbours, op05_pii, op06_mixing, op07_language, op08_jaccard, op09_toxicity, op10_passages, op11_balltree, op12_simhash, op13_alignment
 
 QUERIES = {
     "op1_license_scan": op01_license.op1_license_scan,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_compact_windows": op10_passages.op10_compact_windows,
     "op11_ball_tree_search": op11_balltree.op11_ball_tree_search,
     "op12_multi_index_simhash": op12_simhash.op12_multi_index_simhash,
+    "op13_tokenizer_alignment": op13_alignment.op13_tokenizer_alignment,
 }
 
 ORACLES = {
