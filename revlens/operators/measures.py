@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from revlens.functions.arith import blank_add, blank_sub, divide
 from revlens.operators.output import decimals_to_double
-from revlens.plans.joins import attach_row
+from revlens.plans.joins import attach_row, null_safe_join
 from revlens.plans.periods import with_prior_period
 
 # output name -> fact column
@@ -33,6 +33,7 @@ BASE = {
 }
 DERIVED = ["total_cogs", "gross_margin", "gross_margin_pct", "gm_per_unit", "operational_expense",
            "net_profit", "net_profit_pct"]
+RATIOS = ["gross_margin_pct", "gm_per_unit", "net_profit_pct"]
 TARGET_DIMS = {"fiscal_year", "market", "region"}
 
 
@@ -117,7 +118,8 @@ def measures_ly(fact: DataFrame, dims: list[str], period: str = "fiscal_year",
 def targets_at(t, dims: list[str], fiscal_year: int | None = None) -> DataFrame | None:
     """Targets summed to ``dims`` (of one fiscal year if given), or None when the
     dims filter below the target grain (a customer / product attribute other
-    than market and region)."""
+    than market and region). A target of a market without customers has no
+    region; it stays, under a NULL one."""
     if not set(dims) <= TARGET_DIMS:
         return None
     tg = t.ns_gm_target
@@ -125,21 +127,30 @@ def targets_at(t, dims: list[str], fiscal_year: int | None = None) -> DataFrame
         tg = tg.filter(F.col("fiscal_year") == fiscal_year)
     if "region" in dims:
         regions = t.dim_customer.select("market", "region").distinct()
-        tg = tg.join(regions, "market")
+        tg = tg.join(regions, "market", "left")
     return tg.groupBy(*dims).agg(F.sum("ns_target").alias("ns_target"),
                                  F.sum("gm_target").alias("gm_target"),
                                  F.sum("np_target").alias("np_target"))
 
 
 def with_targets(agg: DataFrame, t, dims: list[str], blank_ratio: bool = False,
-                 fiscal_year: int | None = None) -> DataFrame:
-    """Add ns_target, gm_target, np_target and the target ratios (NULL money where none)."""
+                 fiscal_year: int | None = None, blank_actual: bool = False) -> DataFrame:
+    """Add ns_target, gm_target, np_target and the target ratios (NULL money where none).
+
+    A target needs no sales to exist: a group with a target and no actual row
+    is kept, with NULL amounts and the ratios of an empty period (0, or NULL
+    with ``blank_actual``). NULL groups match NULL groups.
+    """
     tg = targets_at(t, dims, fiscal_year)
     if tg is None:
         agg = agg.withColumns({c: F.lit(None).cast("decimal(34,2)")
                                for c in ("ns_target", "gm_target", "np_target")})
     elif dims:
-        agg = agg.join(tg, dims, "left")
+        ratios = [c for c in agg.columns if c.removesuffix("_ly") in RATIOS]
+        agg = null_safe_join(agg.withColumn("__sold", F.lit(True)), tg, dims, "full_outer")
+        if not blank_actual:
+            agg = agg.withColumns({c: F.when(F.col("__sold").isNull(), 0.0).otherwise(F.col(c)) for c in ratios})
+        agg = agg.drop("__sold")
     else:
         agg = attach_row(agg, tg)  # targets at no dims: a global aggregate, one row
     alt = None if blank_ratio else 0

@@ -34,7 +34,8 @@ def segment_scorecard(fact: DataFrame, dims: list[str], fiscal_year: int, benchm
 
     ``benchmark`` is ``ly`` or ``target`` (needs the star ``t``; NULL for dims
     without targets). The flag is 1 when net profit % fell short, and for a
-    group that sold last year and nothing this year.
+    group that sold last year and nothing this year. A group with a target and
+    no sales is a row.
     """
     m = measures_with_prior(fact, dims, fiscal_year)
     if benchmark == "target":
@@ -62,7 +63,7 @@ def revenue_split(fact: DataFrame, dims: list[str], fiscal_year: int) -> DataFra
 
 
 def region_scorecard(fact: DataFrame, t, fiscal_year: int, dims: list[str] | None = None) -> DataFrame:
-    """One row per region that sold this year or last: NS, GM %, NP % with last-year and target values."""
+    """One row per region that sold this year or last or has a target: NS, GM %, NP % with last-year and target values."""
     dims = dims or ["region"]
     m = measures_with_prior(fact, dims, fiscal_year)
     m = with_targets(m, t, dims, fiscal_year=fiscal_year)

@@ -15,6 +15,7 @@ from revlens.functions.arith import blank_add, divide
 from revlens.operators.measures import (base_sums, measures, measures_with_prior, targets_at, with_benchmark,
                                         with_derived, with_targets)
 from revlens.operators.output import decimals_to_double
+from revlens.plans.joins import null_safe_join
 
 MLN = float(MILLION)
 
@@ -105,7 +106,7 @@ def pl_statement(fact: DataFrame, t, fiscal_year: int, dims: list[str] | None =
     if benchmark == "ly":
         bms, total_bm = line_values("_ly"), _d("net_sales_ly") / MLN
     elif benchmark == "target":
-        wide = with_targets(wide, t, dims, blank_ratio, fiscal_year=fiscal_year)
+        wide = with_targets(wide, t, dims, blank_ratio, fiscal_year=fiscal_year, blank_actual=blank_ratio)
         bms, total_bm = target_values(), _d("ns_target") / MLN
     elif benchmark is None:
         bms, total_bm = None, None
@@ -143,7 +144,7 @@ def pl_drill_target(fact: DataFrame, t, levels: list[str], fiscal_year: int) ->
         raise ValueError("targets exist by fiscal_year, market and region only")
     leaf = fact.filter(F.col("fiscal_year") == fiscal_year).groupBy(*levels).agg(*base_sums())
     names = [c for c in [*leaf.columns, *targets.columns] if c not in levels]
-    both = leaf.join(targets, levels, "full_outer")
+    both = null_safe_join(leaf, targets, levels, "full_outer")
     rolled = both.rollup(*levels).agg(F.grouping_id().cast("int").alias("level"), *[F.sum(c).alias(c) for c in names])
     out = with_derived(rolled).withColumns({
         "gross_margin_pct_target": divide("gm_target", "ns_target", None),

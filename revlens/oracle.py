@@ -356,12 +356,19 @@ JOIN dim_customer c ON c.customer_code = a.customer_code WHERE b.acc < a.acc""",
         f"SELECT {fm}, {_out(['net_sales', 'net_sales_ly'])}, gross_margin_pct, gross_margin_pct_ly, net_profit_pct, net_profit_pct_ly, "
         "CAST(net_sales_ly AS DOUBLE) AS net_sales_bm, gross_margin_pct_ly AS gross_margin_pct_bm, net_profit_pct_ly AS net_profit_pct_bm FROM d",
         "fact_actuals_estimates", extra=[s_fm, ly_keys, ly_join, ly_d])
+    def full_join(keys, targets, renamed="s"):
+        """All groups of sums and of targets, NULL keys matching NULL keys."""
+        on = " AND ".join(f"tg.{k} IS NOT DISTINCT FROM {renamed}.{k}" for k in keys)
+        merged = ", ".join(f"COALESCE({renamed}.{k}, tg.{k}) AS {k}" for k in keys)
+        return (f"SELECT {merged}, {renamed}.* EXCLUDE ({', '.join(keys)}), tg.ns_target, tg.gm_target, tg.np_target "
+                f"FROM {renamed} FULL JOIN {targets} tg ON {on}")
+
     q["pl_vs_target"] = with_views(
         f"""SELECT {fm}, {_out(['net_sales', 'ns_target', 'gm_target', 'np_target'])}, gross_margin_pct, {_div('gm_target', 'ns_target')} AS gross_margin_pct_target,
 net_profit_pct, {_div('np_target', 'ns_target')} AS net_profit_pct_target, CAST(ns_target AS DOUBLE) AS net_sales_bm,
-{_div('gm_target', 'ns_target')} AS gross_margin_pct_bm, {_div('np_target', 'ns_target')} AS net_profit_pct_bm
-FROM d LEFT JOIN ns_gm_target t USING (fiscal_year, market)""",
-        "fact_actuals_estimates", "ns_gm_target", extra=[s_fm, ("d", f"SELECT *, {_derived()} FROM s")])
+{_div('gm_target', 'ns_target')} AS gross_margin_pct_bm, {_div('np_target', 'ns_target')} AS net_profit_pct_bm FROM d""",
+        "fact_actuals_estimates", "ns_gm_target",
+        extra=[s_fm, ("j", full_join(["fiscal_year", "market"], "ns_gm_target")), ("d", f"SELECT *, {_derived()} FROM j")])
     q["gm_gap_flag"] = with_views(
         f"""SELECT {fm}, gross_margin_pct, gross_margin_pct_ly AS gross_margin_pct_bm, gross_margin_pct_ly - gross_margin_pct AS gross_margin_pct_variance,
 CASE WHEN gross_margin_pct_ly - gross_margin_pct >= {GM_TOLERANCE} THEN 1 ELSE 0 END AS gross_margin_pct_flag FROM d""",
@@ -447,10 +454,11 @@ CAST(abs_error AS BIGINT) AS abs_error, CAST(abs_error_ly AS BIGINT) AS abs_erro
     q["pl_matrix"] = with_views(matrix_sel.format(d=""), "fact_actuals_estimates", "pl_rows", extra=[
         prior_sums([]), ("d", f"SELECT *, {_derived()}, {_derived('_ly')} FROM s"),
         ("lines", _lines_sql("d", [], "ly"))])
+    market_targets = f"(SELECT * FROM ns_gm_target WHERE fiscal_year = {FY})"
     q["pl_matrix_target"] = with_views(matrix_sel.format(d="market, "), "fact_actuals_estimates", "pl_rows", "ns_gm_target", extra=[
-        prior_sums(["market"]),
-        ("d", f"""SELECT s.*, {_derived()}, t.ns_target, t.gm_target, t.np_target, {_div('t.gm_target', 't.ns_target')} AS gross_margin_pct_target,
-{_div('t.np_target', 't.ns_target')} AS net_profit_pct_target FROM s LEFT JOIN (SELECT * FROM ns_gm_target WHERE fiscal_year = {FY}) t ON t.market = s.market"""),
+        prior_sums(["market"]), ("j", full_join(["market"], market_targets)),
+        ("d", f"""SELECT *, {_derived()}, {_div('gm_target', 'ns_target')} AS gross_margin_pct_target,
+{_div('np_target', 'ns_target')} AS net_profit_pct_target FROM j"""),
         ("lines", _lines_sql("d", ["market"], "target"))])
 
     lv = "region, market, product"
@@ -474,16 +482,16 @@ o.gross_margin_pct AS overall_gross_margin_pct, g.gross_margin_pct - o.gross_mar
 
     def scorecard(dim, target=False):
         none = "CAST(NULL AS DOUBLE)"
-        np_bm = _div("tg.np_target", "tg.ns_target", none) if target else "net_profit_pct_ly"
-        gm_bm = _div("tg.gm_target", "tg.ns_target", none) if target else "gross_margin_pct_ly"
-        join = f" LEFT JOIN ns_gm_target tg ON tg.{dim} = d.{dim} AND tg.fiscal_year = {FY}" if target else ""
+        np_bm = _div("np_target", "ns_target", none) if target else "net_profit_pct_ly"
+        gm_bm = _div("gm_target", "ns_target", none) if target else "gross_margin_pct_ly"
+        joined = [("j", full_join([dim], market_targets))] if target else []
         return with_views(
-            f"""SELECT d.{dim}, CAST(net_sales AS DOUBLE) AS net_sales, net_profit_pct, {np_bm} AS net_profit_pct_bm, net_profit_pct - {np_bm} AS net_profit_pct_change,
+            f"""SELECT {dim}, CAST(net_sales AS DOUBLE) AS net_sales, net_profit_pct, {np_bm} AS net_profit_pct_bm, net_profit_pct - {np_bm} AS net_profit_pct_change,
 gross_margin_pct, {gm_bm} AS gross_margin_pct_bm, gross_margin_pct - {gm_bm} AS gross_margin_pct_change,
 CASE WHEN (net_sales IS NULL AND net_sales_ly IS NOT NULL) OR net_profit_pct - {np_bm} < 0 THEN 1 ELSE 0 END AS decline_flag
-FROM d{join}""",
+FROM d""",
             "fact_actuals_estimates", *(["ns_gm_target"] if target else []),
-            extra=[prior_sums([dim]), ("d", f"SELECT *, {_derived()}, {_derived('_ly')} FROM s")])
+            extra=[prior_sums([dim]), *joined, ("d", f"SELECT *, {_derived()}, {_derived('_ly')} FROM {'j' if target else 's'}")])
 
     def split(dim):
         return with_views(
@@ -499,15 +507,16 @@ FROM d{join}""",
     q["segment_scorecard_market_target"] = scorecard("market", target=True)
     q["revenue_split"] = split("channel")
     q["revenue_split_division"] = split("division")
+    region_targets = f"""(SELECT m.region, SUM(t.ns_target) AS ns_target, SUM(t.gm_target) AS gm_target, SUM(t.np_target) AS np_target
+FROM ns_gm_target t LEFT JOIN (SELECT DISTINCT market, region FROM dim_customer) m ON m.market = t.market WHERE t.fiscal_year = {FY} GROUP BY m.region)"""
     q["region_scorecard"] = with_views(
-        f"""SELECT d.region, CAST(net_sales AS DOUBLE) AS net_sales, CAST(net_sales_ly AS DOUBLE) AS net_sales_ly, CAST(tg.ns_target AS DOUBLE) AS net_sales_target,
-gross_margin_pct, gross_margin_pct_ly, {_div('tg.gm_target', 'tg.ns_target')} AS gross_margin_pct_target,
-net_profit_pct, net_profit_pct_ly, {_div('tg.np_target', 'tg.ns_target')} AS net_profit_pct_target
-FROM d LEFT JOIN tg ON tg.region = d.region""",
+        f"""SELECT region, CAST(net_sales AS DOUBLE) AS net_sales, CAST(net_sales_ly AS DOUBLE) AS net_sales_ly, CAST(ns_target AS DOUBLE) AS net_sales_target,
+gross_margin_pct, gross_margin_pct_ly, {_div('gm_target', 'ns_target')} AS gross_margin_pct_target,
+net_profit_pct, net_profit_pct_ly, {_div('np_target', 'ns_target')} AS net_profit_pct_target
+FROM d""",
         "fact_actuals_estimates", "ns_gm_target", "dim_customer", extra=[
-            prior_sums(["region"]), ("d", f"SELECT *, {_derived()}, {_derived('_ly')} FROM s"),
-            ("tg", f"""SELECT m.region, SUM(t.ns_target) AS ns_target, SUM(t.gm_target) AS gm_target, SUM(t.np_target) AS np_target
-FROM ns_gm_target t JOIN (SELECT DISTINCT market, region FROM dim_customer) m ON m.market = t.market WHERE t.fiscal_year = {FY} GROUP BY m.region""")])
+            prior_sums(["region"]), ("j", full_join(["region"], region_targets)),
+            ("d", f"SELECT *, {_derived()}, {_derived('_ly')} FROM j")])
     q["kpi_trend"] = with_views(
         "SELECT date, CAST(net_sales AS DOUBLE) AS net_sales, gross_margin_pct, net_profit_pct, CAST(sold_quantity AS BIGINT) AS sold_quantity FROM d ORDER BY date",
         "fact_actuals_estimates", extra=[
@@ -537,9 +546,9 @@ CAST(net_sales_ly AS DOUBLE) AS net_sales_bm, gross_margin_pct_ly AS gross_margi
 {_div('gm_target', 'ns_target', none)} AS gross_margin_pct_bm, {_div('np_target', 'ns_target', none)} AS net_profit_pct_bm FROM d""",
         "fact_actuals_estimates", "ns_gm_target", "dim_customer", extra=[
             ("leaf", f"SELECT {lv}, {_sums()} FROM fact_actuals_estimates WHERE fiscal_year = {FY} GROUP BY {lv}"),
-            ("tg", f"""SELECT m.region, t.market, t.ns_target, t.gm_target, t.np_target FROM ns_gm_target t
-JOIN (SELECT DISTINCT market, region FROM dim_customer) m ON m.market = t.market WHERE t.fiscal_year = {FY}"""),
-            ("both_", "SELECT * FROM leaf FULL JOIN tg USING (region, market)"),
+            ("targets", f"""SELECT m.region, t.market, t.ns_target, t.gm_target, t.np_target FROM ns_gm_target t
+LEFT JOIN (SELECT DISTINCT market, region FROM dim_customer) m ON m.market = t.market WHERE t.fiscal_year = {FY}"""),
+            ("both_", full_join(["region", "market"], "targets", "leaf")),
             ("r", f"SELECT {lv}, GROUPING({lv}) AS level, " + ", ".join(f"SUM({n}) AS {n}" for n in [n for n, _ in _BASE] + ["ns_target", "gm_target", "np_target"]) + f" FROM both_ GROUP BY ROLLUP ({lv})"),
             ("d", f"SELECT *, {_derived()} FROM r")])
     return q

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -23,13 +25,33 @@ def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
             .drop("__row"))
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` in which NULL equals NULL, as it does in GROUP BY and PARTITION BY.
+
+    Columns: the keys once (taken from whichever side has the row), then the
+    other columns of ``left`` and of ``right``. Spark hashes and sorts a
+    null-safe equality like any other, so this is an ordinary shuffled or
+    broadcast join, outer joins included.
+    """
+    own = {k: f"__{k}" for k in keys}
+    right = right.withColumnsRenamed(own)
+    same: Column = reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[own[k]]) for k in keys])
+    out = left.join(right, same, how)
+    if how in ("inner", "left"):
+        return out.drop(*own.values())
+    merged = [F.coalesce(k, own[k]).alias(k) for k in keys]
+    return out.select(*merged, *[c for c in left.columns if c not in own], *[c for c in right.columns if c not in own.values()])
+
+
 def join_totals(df: DataFrame, totals: DataFrame, keys: list[str]) -> DataFrame:
     """Join per-group totals back to ``df`` on ``keys`` (one total row per key).
 
-    With no keys the totals frame is one row and is attached with
-    :func:`attach_row`; otherwise this is an equi-join whose strategy (broadcast
-    below Spark's size threshold, shuffled otherwise) is left to the planner.
+    A NULL key is a group like any other, so the result is that of
+    ``SUM() OVER (PARTITION BY keys)``. With no keys the totals frame is one row
+    and is attached with :func:`attach_row`; otherwise this is an equi-join whose
+    strategy (broadcast below Spark's size threshold, shuffled otherwise) is
+    left to the planner.
     """
     if not keys:
         return attach_row(df, totals)
-    return df.join(totals, keys)
+    return null_safe_join(df, totals, keys)
