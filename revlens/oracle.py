@@ -328,6 +328,8 @@ FROM e JOIN dim_customer c USING (customer_code) ORDER BY forecast_accuracy DESC
 
     q["forecast_accuracy"] = accuracy(False)
     q["forecast_accuracy_zero"] = accuracy(True)
+    for name in ("forecast_accuracy", "monthly_gross_sales", "monthly_gross_sales_multi"):
+        q[f"call_{name}"] = q[name]  # the procedures by name
     q["accuracy_decline"] = with_views(
         f"""SELECT a.customer_code, c.customer AS customer_name, c.market, CAST(a.acc AS DOUBLE) AS forecast_acc_{FY_PRIOR}, CAST(b.acc AS DOUBLE) AS forecast_acc_{FY}
 FROM acc a JOIN acc b ON a.customer_code = b.customer_code AND a.fiscal_year = {FY_PRIOR} AND b.fiscal_year = {FY}

@@ -15,6 +15,7 @@ from revlens.operators import (contribution as C, finance as FN, forecast as FC,
                                measures as M, pages as PG, pl as PL, ranking as R, supply as SC,
                                waterfall as W)
 from revlens.operators.output import decimals_to_double
+from revlens.sources.catalog import register
 from revlens.sources.star import Star
 
 FY = 1997
@@ -281,6 +282,21 @@ def kpi_trend(spark, root):
     return PG.kpi_trend(_star(spark, root).fact_actuals_estimates)
 
 
+def call_forecast_accuracy(spark, root):
+    register(spark, _star(spark, root))
+    return spark.sql(f"SELECT * FROM get_forecast_accuracy({FY})")
+
+
+def call_monthly_gross_sales(spark, root):
+    register(spark, _star(spark, root))
+    return spark.sql(f"SELECT * FROM get_monthly_gross_sales_for_customer({CUSTOMER})")
+
+
+def call_monthly_gross_sales_multi(spark, root):
+    register(spark, _star(spark, root))
+    return spark.sql(f"SELECT * FROM get_monthly_gross_sales_for_customer_multi('{CUSTOMER_LIST}')")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in [
     fiscal_calendar, product_gross_sales, monthly_gross_sales, yearly_gross_sales,
     monthly_gross_sales_multi, waterfall_gross, net_invoice_sale_fy, waterfall_net_invoice,
@@ -292,4 +308,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     pl_matrix_target, pl_drill, performance_matrix, performance_matrix_product, segment_scorecard,
     segment_scorecard_market, revenue_split, revenue_split_division, region_scorecard, kpi_trend,
     segment_scorecard_market_target, kpi_trend_ly, sc_kpis_customer, sc_kpis_segment, pl_drill_ly, pl_drill_target,
+    call_forecast_accuracy, call_monthly_gross_sales, call_monthly_gross_sales_multi,
 ]}
