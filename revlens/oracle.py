@@ -553,4 +553,21 @@ LEFT JOIN (SELECT DISTINCT market, region FROM dim_customer) m ON m.market = t.m
             ("both_", full_join(["region", "market"], "targets", "leaf")),
             ("r", f"SELECT {lv}, GROUPING({lv}) AS level, " + ", ".join(f"SUM({n}) AS {n}" for n in [n for n, _ in _BASE] + ["ns_target", "gm_target", "np_target"]) + f" FROM both_ GROUP BY ROLLUP ({lv})"),
             ("d", f"SELECT *, {_derived()} FROM r")])
+    lacks = {"product": "dim_product x WHERE x.product_code = s.product_code", "customer": "dim_customer x WHERE x.customer_code = s.customer_code",
+             "price": "fact_gross_price x WHERE x.product_code = s.product_code AND x.fiscal_year = s.fiscal_year",
+             "pre_invoice": "fact_pre_invoice_deductions x WHERE x.customer_code = s.customer_code AND x.fiscal_year = s.fiscal_year",
+             "post_invoice": "fact_post_invoice_deductions x WHERE x.date = s.date AND x.product_code = s.product_code AND x.customer_code = s.customer_code"}
+    flags = ", ".join(f"NOT EXISTS (SELECT 1 FROM {x}) AS no_{k}" for k, x in lacks.items())
+    first = "CASE " + " ".join(f"WHEN no_{k} THEN '{k}'" for k in lacks) + " ELSE 'kept' END"
+    coverage_views = ("fact_sales_monthly", "dim_product", "dim_customer", "fact_gross_price", "fact_pre_invoice_deductions", "fact_post_invoice_deductions")
+    steps = " UNION ALL ".join(
+        f"""SELECT fiscal_year, '{k}' AS step, COUNT(*) FILTER (WHERE step = '{k}') AS lines, CAST(COALESCE(SUM(sold_quantity) FILTER (WHERE step = '{k}'), 0) AS BIGINT) AS quantity,
+CAST(COALESCE(SUM(sold_quantity) FILTER (WHERE step = '{k}'), 0) AS DOUBLE) / CAST(SUM(sold_quantity) AS DOUBLE) AS share_of_quantity,
+COUNT(*) FILTER (WHERE {no}) AS lines_lacking, CAST(COALESCE(SUM(sold_quantity) FILTER (WHERE {no}), 0) AS BIGINT) AS quantity_lacking FROM lines GROUP BY fiscal_year"""
+        for k, no in [("kept", "FALSE"), *((k, f"no_{k}") for k in lacks)])
+    marked = [("m", f"SELECT s.*, {flags} FROM fact_sales_monthly s"), ("lines", f"SELECT *, {first} AS step FROM m")]
+    q["sales_coverage"] = with_views(steps, *coverage_views, extra=marked)
+    q["unpriced_sales"] = with_views(
+        f"SELECT product_code, COUNT(*) AS lines, CAST(SUM(sold_quantity) AS BIGINT) AS sold_quantity FROM lines WHERE step = 'price' AND fiscal_year = {FY} GROUP BY product_code",
+        *coverage_views, extra=marked)
     return q

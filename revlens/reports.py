@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.operators import (contribution as C, finance as FN, forecast as FC, market as MK,
+from revlens.operators import (contribution as C, coverage as CV, finance as FN, forecast as FC, market as MK,
                                measures as M, pages as PG, pl as PL, ranking as R, supply as SC,
                                waterfall as W)
 from revlens.operators.output import decimals_to_double
@@ -282,6 +282,15 @@ def kpi_trend(spark, root):
     return PG.kpi_trend(_star(spark, root).fact_actuals_estimates)
 
 
+def sales_coverage(spark, root):
+    return CV.coverage_report(_star(spark, root))
+
+
+def unpriced_sales(spark, root):
+    lost = CV.lost_lines(_star(spark, root), FY, step="price")
+    return lost.groupBy("product_code").agg(F.count("*").alias("lines"), F.sum("sold_quantity").alias("sold_quantity"))
+
+
 def call_forecast_accuracy(spark, root):
     register(spark, _star(spark, root))
     return spark.sql(f"SELECT * FROM get_forecast_accuracy({FY})")
@@ -308,5 +317,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     pl_matrix_target, pl_drill, performance_matrix, performance_matrix_product, segment_scorecard,
     segment_scorecard_market, revenue_split, revenue_split_division, region_scorecard, kpi_trend,
     segment_scorecard_market_target, kpi_trend_ly, sc_kpis_customer, sc_kpis_segment, pl_drill_ly, pl_drill_target,
-    call_forecast_accuracy, call_monthly_gross_sales, call_monthly_gross_sales_multi,
+    sales_coverage, unpriced_sales, call_forecast_accuracy, call_monthly_gross_sales, call_monthly_gross_sales_multi,
 ]}
