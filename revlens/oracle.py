@@ -553,6 +553,22 @@ LEFT JOIN (SELECT DISTINCT market, region FROM dim_customer) m ON m.market = t.m
             ("both_", full_join(["region", "market"], "targets", "leaf")),
             ("r", f"SELECT {lv}, GROUPING({lv}) AS level, " + ", ".join(f"SUM({n}) AS {n}" for n in [n for n, _ in _BASE] + ["ns_target", "gm_target", "np_target"]) + f" FROM both_ GROUP BY ROLLUP ({lv})"),
             ("d", f"SELECT *, {_derived()} FROM r")])
+    spelling = ("spelling", """SELECT lower(market) AS folded, MIN(CASE WHEN customer_code % 2 = 1 THEN lower(market) ELSE market END) AS spelled
+FROM dim_customer GROUP BY lower(market)""")
+    q["market_contribution_caseless"] = with_views(
+        "SELECT spelled AS market, CAST(net_sales_mln AS DOUBLE) AS net_sales_mln, CAST(ROUND(CAST(net_sales_mln * 100.0 / "
+        "SUM(net_sales_mln) OVER () AS DECIMAL(38,10)), 2) AS DOUBLE) AS pct_contribution FROM agg JOIN spelling USING (folded)",
+        "net_sales", "dim_customer", extra=[spelling, (
+            "agg", f"SELECT lower(market) AS folded, {_mln('net_sales')} AS net_sales_mln FROM net_sales WHERE fiscal_year = {FY} GROUP BY lower(market)")])
+    q["top_markets_per_region_caseless"] = with_views(
+        "SELECT spelled AS market, region, CAST(gross_sales_mln AS DOUBLE) AS gross_sales_mln, CAST(rnk AS INT) AS rnk "
+        "FROM ranked JOIN spelling USING (folded) WHERE rnk <= 2",
+        "gross_sales", "dim_customer", extra=[
+            spelling,
+            ("agg", f"SELECT lower(market) AS folded, region, {_mln('gross_price_total')} AS gross_sales_mln FROM gross_sales "
+                    f"WHERE fiscal_year = {FY} GROUP BY lower(market), region"),
+            ("ranked", "SELECT *, DENSE_RANK() OVER (PARTITION BY region ORDER BY gross_sales_mln DESC) AS rnk FROM agg")])
+
     lacks = {"product": "dim_product x WHERE x.product_code = s.product_code", "customer": "dim_customer x WHERE x.customer_code = s.customer_code",
              "price": "fact_gross_price x WHERE x.product_code = s.product_code AND x.fiscal_year = s.fiscal_year",
              "pre_invoice": "fact_pre_invoice_deductions x WHERE x.customer_code = s.customer_code AND x.fiscal_year = s.fiscal_year",

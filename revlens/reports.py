@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from revlens.functions.text import plain
 from revlens.operators import (contribution as C, coverage as CV, finance as FN, forecast as FC, market as MK,
                                measures as M, pages as PG, pl as PL, ranking as R, supply as SC,
                                waterfall as W)
@@ -282,6 +283,25 @@ def kpi_trend(spark, root):
     return PG.kpi_trend(_star(spark, root).fact_actuals_estimates)
 
 
+def _mixed_case(spark, root) -> Star:
+    """The star with the markets of odd customer codes written in lower case, compared without case."""
+    t = _star(spark, root)
+    odd = F.col("customer_code") % 2 == 1
+    t.dim_customer = t.dim_customer.withColumn("market", F.when(odd, F.lower("market")).otherwise(F.col("market")))
+    return t.caseless()
+
+
+def market_contribution_caseless(spark, root):
+    out = C.contribution(C.net_sales_by(_mixed_case(spark, root), ["market"], FY), "net_sales_mln")
+    return decimals_to_double(plain(out)).orderBy(F.desc("net_sales_mln"), "market")
+
+
+def top_markets_per_region_caseless(spark, root):
+    by = C.gross_sales_by(_mixed_case(spark, root), ["market", "region"], FY)
+    out = R.top_k_per_group(by, ["region"], "gross_sales_mln", 2, method="dense_rank", rank_col="rnk")
+    return decimals_to_double(plain(out)).orderBy("region", F.desc("gross_sales_mln"), "market")
+
+
 def sales_coverage(spark, root):
     return CV.coverage_report(_star(spark, root))
 
@@ -317,5 +337,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     pl_matrix_target, pl_drill, performance_matrix, performance_matrix_product, segment_scorecard,
     segment_scorecard_market, revenue_split, revenue_split_division, region_scorecard, kpi_trend,
     segment_scorecard_market_target, kpi_trend_ly, sc_kpis_customer, sc_kpis_segment, pl_drill_ly, pl_drill_target,
-    sales_coverage, unpriced_sales, call_forecast_accuracy, call_monthly_gross_sales, call_monthly_gross_sales_multi,
+    market_contribution_caseless, top_markets_per_region_caseless, sales_coverage, unpriced_sales, call_forecast_accuracy, call_monthly_gross_sales, call_monthly_gross_sales_multi,
 ]}

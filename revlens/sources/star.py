@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from revlens.functions.arith import money
 from revlens.functions.fiscal import fiscal_year
+from revlens.functions.text import caseless, one_spelling
 from revlens.plans.joins import attach_row
 from revlens.sources.raw import path_exists, read_table, remove_path
 
@@ -315,6 +316,21 @@ class Star:
             return lambda: spark.table(f"{database}.{name}")
         return cls({name: loader(name) for name in TABLES})
 
+    def caseless(self) -> "Star":
+        """This star with text compared without case, as the reports' own engines do.
+
+        Spellings of a dimension attribute that differ in case only become one;
+        all text columns are collated, so that reports group, join, rank and
+        filter by them without case. ``functions.text.plain`` turns a result's
+        text back into ordinary strings.
+        """
+        def loader(name: str) -> Callable[[], DataFrame]:
+            def load() -> DataFrame:
+                df = getattr(self, name)
+                return caseless(one_spelling(df) if name in ("dim_customer", "dim_product") else df)
+            return load
+        return Star({name: loader(name) for name in TABLES})
+
     @classmethod
     def is_stored(cls, spark: SparkSession, path: str) -> bool:
         """True when ``write`` completed at ``path`` (its last table has _SUCCESS)."""
