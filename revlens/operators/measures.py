@@ -99,19 +99,20 @@ def measures_with_prior(fact: DataFrame, dims: list[str], fiscal_year: int,
 
 
 def with_last_year(agg: DataFrame, dims: list[str], period: str = "fiscal_year",
-                   columns: list[str] | None = None) -> DataFrame:
+                   columns: list[str] | None = None, known: DataFrame | None = None) -> DataFrame:
     """Add ``<col>_ly`` = the value of the same dims one year earlier (calendar
     shift; a missing prior period gives NULL). See ``plans.periods``."""
     columns = columns or [c for c in agg.columns if c not in dims]
-    return with_prior_period(agg, dims, period, columns)
+    return with_prior_period(agg, dims, period, columns, known=known)
 
 
 def measures_ly(fact: DataFrame, dims: list[str], period: str = "fiscal_year",
-                blank_ratio: bool = False) -> DataFrame:
+                blank_ratio: bool = False, known: DataFrame | None = None) -> DataFrame:
     """Measures for every period with their last-year values (base sums shifted,
-    derived measures recomputed from the shifted sums)."""
+    derived measures recomputed from the shifted sums). ``known``: the periods
+    there are (``plans.periods``); with it the fact is read once."""
     sums = fact.groupBy(*dims).agg(*base_sums())
-    both = with_last_year(sums, dims, period, list(BASE))
+    both = with_last_year(sums, dims, period, list(BASE), known)
     return with_derived(with_derived(both, "", blank_ratio), "_ly", blank_ratio)
 
 

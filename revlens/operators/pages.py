@@ -6,11 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revlens.functions.arith import divide
-from revlens.operators.measures import (BASE, measures, measures_ly, measures_with_prior, with_benchmark,
-                                        with_derived, with_targets)
+from revlens.operators.measures import (BASE, base_sums, measures, measures_ly, measures_with_prior, with_benchmark,
+                                        with_derived, with_last_year, with_targets)
 from revlens.operators.output import decimals_to_double
 from revlens.operators.supply import forecast_measures_ly
 from revlens.plans.joins import attach_row
+from revlens.plans.periods import calendar_periods
+from revlens.plans.spine import with_every_month
 
 
 def performance_matrix(fact: DataFrame, dims: list[str], fiscal_year: int) -> DataFrame:
@@ -80,15 +82,32 @@ def kpi_trend(fact: DataFrame, period: str = "date") -> DataFrame:
                                        "sold_quantity")).orderBy(period)
 
 
+def kpi_series(fact: DataFrame, dims: list[str], dim_date: DataFrame) -> DataFrame:
+    """The monthly KPI series of each ``dims`` group with last year's values, without gaps.
+
+    Every month between a group's first and last is a row. A month without sales
+    has NULL amounts and ratios (no sales is not a margin of 0); its last-year
+    values are those of the month a year before. The series of a group that sold
+    a year ago and not since goes on as long as there is a month to compare with.
+    """
+    keys = [*dims, "date"]
+    sums = fact.groupBy(*keys).agg(*base_sums())
+    both = with_last_year(sums, keys, "date", list(BASE), known=calendar_periods(dim_date, "date"))
+    months = with_every_month(both, dim_date, dims)
+    m = with_derived(with_derived(months, "", blank_ratio=True), "_ly", blank_ratio=True)
+    kpis = ["net_sales", "gross_margin_pct", "net_profit_pct", "sold_quantity"]
+    return decimals_to_double(m.select(*keys, *[c for k in kpis for c in (k, f"{k}_ly")]))
+
+
 def direction(current: str, prior: str) -> Column:
     """``up``, ``down`` or ``flat`` against the prior value; NULL when either is missing."""
     return (F.when(F.col(current) > F.col(prior), "up").when(F.col(current) < F.col(prior), "down")
             .when(F.col(current) == F.col(prior), "flat"))
 
 
-def kpi_trend_ly(fact: DataFrame, period: str = "date") -> DataFrame:
+def kpi_trend_ly(fact: DataFrame, period: str = "date", known: DataFrame | None = None) -> DataFrame:
     """The KPI series with the same month of last year, the change and its direction."""
-    m = measures_ly(fact, [period], period=period, blank_ratio=True)
+    m = measures_ly(fact, [period], period=period, blank_ratio=True, known=known)
     kpis = ["net_sales", "gross_margin_pct", "net_profit_pct"]
     cols = [period]
     for k in kpis:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from revlens.fixed_values import RISK_EXCESS_INVENTORY, RISK_OUT_OF_STOCK
 from revlens.functions.arith import blank_sub, divide
-from revlens.plans.periods import with_prior_period
+from revlens.plans.periods import calendar_periods, with_prior_period
 
 _CUSTOMER_ATTRS = {"customer", "market", "region", "channel"}
 _PRODUCT_ATTRS = {"product", "variant", "segment", "division"}
@@ -85,9 +85,12 @@ def forecast_measures_ly(t, dims: list[str], period: str = "fiscal_year", cutoff
     ``dims`` must contain ``period`` (``fiscal_year``, or ``date`` for months).
     The prior period comes from the same aggregate shifted one year forward
     (a calendar shift, so gaps give NULL, not the previous row), merged in
-    without a self-join (``plans.periods``).
+    without a self-join (``plans.periods``); the periods are those of the date
+    dimension if there is one, so both facts are read once.
     """
     sums = forecast_sums(t, dims, cutoff)
-    both = with_prior_period(sums, dims, period, ["forecast_qty", "actual_qty", "abs_error"])
+    dim_date = getattr(t, "dim_date", None)
+    known = None if dim_date is None else calendar_periods(dim_date, period)
+    both = with_prior_period(sums, dims, period, ["forecast_qty", "actual_qty", "abs_error"], known=known)
     both = derive_forecast(both, perfect_as_one=perfect_as_one)
     return derive_forecast(both, suffix="_ly", perfect_as_one=perfect_as_one)

@@ -534,6 +534,19 @@ FROM d""",
         "fact_actuals_estimates", extra=[
             ("b", f"SELECT date, {_sums()} FROM fact_actuals_estimates GROUP BY date"), ("d", f"SELECT *, {ratios} FROM b"),
             ("k", "SELECT date FROM b")])
+    cm = "channel, market"
+    series = ", ".join(f"{x} AS {n}{y}" for n in ("net_sales", "gross_margin_pct", "net_profit_pct", "sold_quantity") for y, x in (
+        ("", f"CAST({n} AS {'BIGINT' if n == 'sold_quantity' else 'DOUBLE'})"), ("_ly", f"CAST({n}_ly AS {'BIGINT' if n == 'sold_quantity' else 'DOUBLE'})")))
+    q["kpi_series_channel_market"] = with_views(
+        f"SELECT {cm}, date, {series} FROM d", "fact_actuals_estimates", extra=[
+            ("months", """SELECT CAST(UNNEST(generate_series(date_trunc('month', MIN(o_orderdate)), date_trunc('month', MAX(o_orderdate)), INTERVAL 1 MONTH)) AS DATE) AS date FROM orders"""),
+            ("s", f"SELECT {cm}, date, {_sums()} FROM fact_actuals_estimates GROUP BY {cm}, date"),
+            ("shown", f"SELECT {cm}, date FROM s UNION SELECT {cm}, CAST(date + INTERVAL 12 MONTH AS DATE) FROM s WHERE CAST(date + INTERVAL 12 MONTH AS DATE) IN (SELECT date FROM months)"),
+            ("k", f"SELECT {cm}, m.date FROM (SELECT {cm}, MIN(date) AS lo, MAX(date) AS hi FROM shown GROUP BY {cm}) b JOIN months m ON m.date BETWEEN lo AND hi"),
+            ("j", "SELECT k.channel, k.market, k.date, " + ", ".join(f"s.{n}, p.{n} AS {n}_ly" for n, _ in _BASE)
+             + " FROM k LEFT JOIN s ON s.channel = k.channel AND s.market = k.market AND s.date = k.date "
+               "LEFT JOIN s p ON p.channel = k.channel AND p.market = k.market AND CAST(p.date + INTERVAL 12 MONTH AS DATE) = k.date"),
+            ("d", f"SELECT *, {ratios}, {_derived('_ly').replace('CAST(0 AS DOUBLE)', trend_none)} FROM j")])
     lv = "region, market"
     q["pl_drill_ly"] = with_views(
         f"""SELECT {lv}, CAST(level AS INT) AS level, {_out(['net_sales', 'net_sales_ly'])}, gross_margin_pct, gross_margin_pct_ly, net_profit_pct, net_profit_pct_ly,

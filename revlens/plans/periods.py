@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from revlens.functions.fiscal import FY_START_MONTH, fiscal_year
+
 
 def _shifted(dims: list[str], period: str) -> dict[str, Column]:
     if period == "fiscal_year":
@@ -29,13 +31,22 @@ def _shifted(dims: list[str], period: str) -> dict[str, Column]:
     raise ValueError("period must be 'fiscal_year' or 'date'")
 
 
+def calendar_periods(dim_date: DataFrame, period: str, start_month: int = FY_START_MONTH) -> DataFrame:
+    """The periods of the date dimension: its fiscal years, or the first days of its months."""
+    if period == "fiscal_year":
+        return dim_date.select(fiscal_year("date", start_month).alias("fiscal_year")).distinct()
+    return dim_date.select(F.trunc("date", "month").alias(period)).distinct()
+
+
 def with_prior_period(agg: DataFrame, dims: list[str], period: str, columns: list[str],
-                      suffix: str = "_ly") -> DataFrame:
+                      suffix: str = "_ly", known: DataFrame | None = None) -> DataFrame:
     """``agg`` plus ``<col><suffix>`` = value of the same dims one year earlier.
 
     A group present only a year earlier is kept with NULL current values when
-    its period occurs in ``agg`` at all, so the prior amounts of a lapsed
-    customer or market stay in that period's total.
+    its period is a known one, so the prior amounts of a lapsed customer or
+    market stay in that period's total. ``known`` holds the periods (one
+    column), e.g. ``calendar_periods`` of the date dimension; without it they
+    are those that occur in ``agg``, whose input is then read a second time.
     """
     if period not in dims:
         raise ValueError(f"dims must contain the period column {period!r}")
@@ -57,6 +68,6 @@ def with_prior_period(agg: DataFrame, dims: list[str], period: str, columns: lis
               .groupBy(*dims)
               .agg(*[F.max(c).alias(c) for c in columns],
                    *[F.max(c + suffix).alias(c + suffix) for c in columns]))
-    # needs the period column only, so its scan reads no amounts
-    known = agg.select(period).distinct()
+    if known is None:
+        known = agg.select(period).distinct()  # needs the period column only, so its scan reads no amounts
     return merged.join(known, period, "left_semi").select(*dims, *columns, *[c + suffix for c in columns])

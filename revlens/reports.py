@@ -16,6 +16,7 @@ from revlens.operators import (contribution as C, coverage as CV, finance as FN,
                                measures as M, pages as PG, pl as PL, ranking as R, supply as SC,
                                waterfall as W)
 from revlens.operators.output import decimals_to_double
+from revlens.plans.periods import calendar_periods
 from revlens.sources.catalog import register
 from revlens.sources.star import Star
 
@@ -154,7 +155,8 @@ def pl_measures(spark, root):
 def pl_last_year(spark, root):
     t = _star(spark, root)
     dims = ["fiscal_year", "market"]
-    m = M.with_benchmark(M.measures_ly(t.fact_actuals_estimates, dims), "ly")
+    known = calendar_periods(t.dim_date, "fiscal_year")
+    m = M.with_benchmark(M.measures_ly(t.fact_actuals_estimates, dims, known=known), "ly")
     return M.output(m, dims + ["net_sales", "net_sales_ly", "gross_margin_pct", "gross_margin_pct_ly",
                                "net_profit_pct", "net_profit_pct_ly", "net_sales_bm",
                                "gross_margin_pct_bm", "net_profit_pct_bm"])
@@ -172,7 +174,8 @@ def pl_vs_target(spark, root):
 def gm_gap_flag(spark, root):
     t = _star(spark, root)
     dims = ["fiscal_year", "market"]
-    m = M.gap_flag(M.with_benchmark(M.measures_ly(t.fact_actuals_estimates, dims), "ly"), GM_TOLERANCE)
+    known = calendar_periods(t.dim_date, "fiscal_year")
+    m = M.gap_flag(M.with_benchmark(M.measures_ly(t.fact_actuals_estimates, dims, known=known), "ly"), GM_TOLERANCE)
     return M.output(m, dims + ["gross_margin_pct", "gross_margin_pct_bm", "gross_margin_pct_variance",
                                "gross_margin_pct_flag"])
 
@@ -246,7 +249,8 @@ def segment_scorecard_market_target(spark, root):
 
 
 def kpi_trend_ly(spark, root):
-    return PG.kpi_trend_ly(_star(spark, root).fact_actuals_estimates)
+    t = _star(spark, root)
+    return PG.kpi_trend_ly(t.fact_actuals_estimates, known=calendar_periods(t.dim_date, "date"))
 
 
 def sc_kpis_customer(spark, root):
@@ -283,6 +287,11 @@ def kpi_trend(spark, root):
     return PG.kpi_trend(_star(spark, root).fact_actuals_estimates)
 
 
+def kpi_series_channel_market(spark, root):
+    t = _star(spark, root)
+    return PG.kpi_series(t.fact_actuals_estimates, ["channel", "market"], t.dim_date)
+
+
 def _mixed_case(spark, root) -> Star:
     """The star with the markets of odd customer codes written in lower case, compared without case."""
     t = _star(spark, root)
@@ -337,5 +346,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     pl_matrix_target, pl_drill, performance_matrix, performance_matrix_product, segment_scorecard,
     segment_scorecard_market, revenue_split, revenue_split_division, region_scorecard, kpi_trend,
     segment_scorecard_market_target, kpi_trend_ly, sc_kpis_customer, sc_kpis_segment, pl_drill_ly, pl_drill_target,
-    market_contribution_caseless, top_markets_per_region_caseless, sales_coverage, unpriced_sales, call_forecast_accuracy, call_monthly_gross_sales, call_monthly_gross_sales_multi,
+    kpi_series_channel_market, market_contribution_caseless, top_markets_per_region_caseless, sales_coverage, unpriced_sales, call_forecast_accuracy, call_monthly_gross_sales, call_monthly_gross_sales_multi,
 ]}
