@@ -60,6 +60,35 @@ def forecast_sums(t, dims: list[str], cutoff=None) -> DataFrame:
                  F.sum(F.abs(blank_sub("fq", "aq"))).alias("abs_error")))
 
 
+def forecast_drill(t, levels: list[str], fiscal_year: int, cutoff=None, perfect_as_one: bool = False) -> DataFrame:
+    """Forecast measures at every level of a drill path (e.g. region > market > customer), with last year.
+
+    The absolute error is not additive: customers of one month and product net
+    off, so a market's error is less than the sum of its customers'. Quantities
+    are summed to the leaf's cells (month x product) once; those sums are then
+    taken to the cells of every level under grouping sets, the error is formed
+    cell by cell at each level, and only then summed. ``level`` is the grouping
+    id (0 = leaf, all bits set = grand total), as in ``pl.pl_drill``.
+    """
+    both_years = F.col("fiscal_year").isin(fiscal_year, fiscal_year - 1)
+    q = _with_dims(quantities(t, cutoff).filter(both_years), t, levels)
+    cell = ["fiscal_year", "date", "product_code"]
+    leaf = q.groupBy(*levels, *cell).agg(F.sum("fq").alias("fq"), F.sum("aq").alias("aq"))
+    paths = [[*levels[:n], *cell] for n in range(len(levels), -1, -1)]
+    cells = leaf.groupingSets([[F.col(c) for c in path] for path in paths], *[*levels, *cell]).agg(
+        # the cell's columns are in every set: their bits, the lowest, are 0
+        F.expr(f"cast(shiftright(grouping_id(), {len(cell)}) AS int)").alias("level"), F.sum("fq").alias("fq"), F.sum("aq").alias("aq"))
+    sums = []
+    for year, suffix in ((fiscal_year, ""), (fiscal_year - 1, "_ly")):
+        here = F.col("fiscal_year") == year
+        sums += [F.sum(F.when(here, F.col(c))).alias(name + suffix) for c, name in (("fq", "forecast_qty"), ("aq", "actual_qty"))]
+        sums.append(F.sum(F.when(here, F.abs(blank_sub("fq", "aq")))).alias(f"abs_error{suffix}"))
+    out = cells.groupBy(*levels, "level").agg(*sums)
+    out = derive_forecast(derive_forecast(out, "", perfect_as_one), "_ly", perfect_as_one)
+    return out.select(*levels, "level", "forecast_qty", "actual_qty", "net_error", "net_error_pct", "abs_error", "abs_error_pct",
+                      "forecast_accuracy_pct", "risk", "abs_error_ly", "forecast_accuracy_pct_ly")
+
+
 def derive_forecast(df: DataFrame, suffix: str = "", perfect_as_one: bool = False) -> DataFrame:
     """Net error, percentages, accuracy and risk from the three sums."""
     fq, aq, ae = (F.col(f"{c}{suffix}") for c in ("forecast_qty", "actual_qty", "abs_error"))

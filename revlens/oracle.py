@@ -431,6 +431,26 @@ CAST(abs_error AS BIGINT) AS abs_error, CAST(abs_error_ly AS BIGINT) AS abs_erro
     q["sc_kpis_customer"] = sc_kpis("customer", cust_join)
     q["sc_kpis_segment"] = sc_kpis("segment", seg_join)
 
+    path = ["region", "market", "customer"]
+
+    def drill_level(n):
+        """One level on its own: cells of that level from the rows, then the sum of their errors."""
+        own = "".join(f"{c}, " for c in path[:n])
+        shown = ", ".join(path[:n] + [f"CAST(NULL AS VARCHAR) AS {c}" for c in path[n:]])
+        halves = ", ".join(f"SUM(CASE WHEN fiscal_year = {y} THEN fq END) AS forecast_qty{x}, SUM(CASE WHEN fiscal_year = {y} THEN aq END) AS actual_qty{x}, "
+                           f"SUM(CASE WHEN fiscal_year = {y} THEN ABS(CASE WHEN fq IS NULL AND aq IS NULL THEN NULL ELSE COALESCE(fq, 0) - COALESCE(aq, 0) END) END) AS abs_error{x}"
+                           for y, x in ((FY, ""), (FY_PRIOR, "_ly")))
+        grouped = f" GROUP BY {', '.join(path[:n])}" if n else ""
+        return (f"SELECT {shown}, {2 ** (len(path) - n) - 1} AS level, {halves} FROM (SELECT {own}fiscal_year, date, product_code, SUM(fq) AS fq, SUM(aq) AS aq "
+                f"FROM qd WHERE fiscal_year IN ({FY}, {FY_PRIOR}) GROUP BY {own}fiscal_year, date, product_code){grouped}")
+
+    place_join = "(SELECT customer_code AS k, region, market, customer FROM dim_customer) x ON x.k = q.customer_code"
+    q["sc_drill"] = with_views(
+        """SELECT region, market, customer, CAST(level AS INT) AS level, CAST(forecast_qty AS BIGINT) AS forecast_qty, CAST(actual_qty AS BIGINT) AS actual_qty, CAST(net_error AS BIGINT) AS net_error,
+net_error_pct, CAST(abs_error AS BIGINT) AS abs_error, abs_error_pct, forecast_accuracy_pct, risk, CAST(abs_error_ly AS BIGINT) AS abs_error_ly, forecast_accuracy_pct_ly FROM m""",
+        *fc_views, extra=fc_sums(["region"], place_join)[:2] + [
+            ("levels", " UNION ALL ".join(drill_level(n) for n in range(len(path), -1, -1))), ("m1", fc_derive("levels")), ("m", fc_derive("m1", "_ly"))])
+
     q["market_share"] = with_views(
         f"""SELECT fiscal_year, manufacturer, CAST(SUM(sales) AS DOUBLE) AS sales, CAST(SUM(total_market_sales) AS DOUBLE) AS total_market_sales,
 {_div('SUM(sales)', 'SUM(total_market_sales)')} AS market_share FROM marketshare GROUP BY fiscal_year, manufacturer""", "marketshare")

@@ -292,6 +292,10 @@ def kpi_series_channel_market(spark, root):
     return PG.kpi_series(t.fact_actuals_estimates, ["channel", "market"], t.dim_date)
 
 
+def sc_drill(spark, root):
+    return SC.forecast_drill(_star(spark, root), ["region", "market", "customer"], FY)
+
+
 def _mixed_case(spark, root) -> Star:
     """The star with the markets of odd customer codes written in lower case, compared without case."""
     t = _star(spark, root)
@@ -346,5 +350,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     pl_matrix_target, pl_drill, performance_matrix, performance_matrix_product, segment_scorecard,
     segment_scorecard_market, revenue_split, revenue_split_division, region_scorecard, kpi_trend,
     segment_scorecard_market_target, kpi_trend_ly, sc_kpis_customer, sc_kpis_segment, pl_drill_ly, pl_drill_target,
-    kpi_series_channel_market, market_contribution_caseless, top_markets_per_region_caseless, sales_coverage, unpriced_sales, call_forecast_accuracy, call_monthly_gross_sales, call_monthly_gross_sales_multi,
+    sc_drill, kpi_series_channel_market, market_contribution_caseless, top_markets_per_region_caseless, sales_coverage, unpriced_sales, call_forecast_accuracy, call_monthly_gross_sales, call_monthly_gross_sales_multi,
 ]}
