@@ -308,6 +308,8 @@ WHERE fiscal_year = {FY} GROUP BY product ORDER BY net_sales_mln DESC, product A
 RANK() OVER (PARTITION BY category ORDER BY amount DESC NULLS LAST) AS rnk,
 DENSE_RANK() OVER (PARTITION BY category ORDER BY amount DESC NULLS LAST) AS drank FROM expenses""")])
 
+    q["expense_ranks"] = with_views("""SELECT category, amount, expense_id, ROW_NUMBER() OVER (PARTITION BY category ORDER BY amount DESC NULLS LAST, expense_id) AS rn,
+RANK() OVER (PARTITION BY category ORDER BY amount DESC NULLS LAST) AS rnk, DENSE_RANK() OVER (PARTITION BY category ORDER BY amount DESC NULLS LAST) AS drank FROM expenses""", "expenses")
     q["actual_est"] = with_views("SELECT date, fiscal_year, product_code, customer_code, sold_quantity, forecast_quantity FROM fact_actual_est",
                                  "fact_actual_est")
 
@@ -539,6 +541,7 @@ FROM d""",
         "fact_actuals_estimates", "ns_gm_target", "dim_customer", extra=[
             prior_sums(["region"]), ("j", full_join(["region"], region_targets)),
             ("d", f"SELECT *, {_derived()}, {_derived('_ly')} FROM j")])
+    q["region_scorecard_lattice"] = q["region_scorecard"]
     q["kpi_trend"] = with_views(
         "SELECT date, CAST(net_sales AS DOUBLE) AS net_sales, gross_margin_pct, net_profit_pct, CAST(sold_quantity AS BIGINT) AS sold_quantity FROM d ORDER BY date",
         "fact_actuals_estimates", extra=[

@@ -6,6 +6,7 @@ customer 7, customer list '7,8,9', brand 'Brand#1'.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,9 @@ from revlens.operators import (contribution as C, coverage as CV, finance as FN,
                                waterfall as W)
 from revlens.operators.output import decimals_to_double
 from revlens.plans.periods import calendar_periods
+from revlens.session import shared_folder
 from revlens.sources.catalog import register
+from revlens.sources.lattice import Lattice
 from revlens.sources.star import Star
 
 FY = 1997
@@ -129,6 +132,10 @@ def ranking_compare(spark, root):
     return out.orderBy("category", "rn")
 
 
+def expense_ranks(spark, root):
+    return R.all_ranks(_star(spark, root).expenses, "category", "amount", tie_break=["expense_id"])
+
+
 def actual_est(spark, root):
     t = _star(spark, root)
     return FC.actual_vs_forecast(t.fact_sales_monthly, t.fact_forecast_monthly)
@@ -296,6 +303,16 @@ def sc_drill(spark, root):
     return SC.forecast_drill(_star(spark, root), ["region", "market", "customer"], FY)
 
 
+def region_scorecard_lattice(spark, root):
+    """The region page from a stored lattice (written to the shared folder first)."""
+    t = _star(spark, root)
+    path = f"{shared_folder(spark)}/lattice-{uuid.uuid4().hex}"
+    lattice = Lattice.build(spark, t.fact_actuals_estimates, path, [("region", "market", "date"), ("region", "market")])
+    small = lattice.star_for(t, ["region"], ["net_sales", "gross_margin_pct", "net_profit_pct"])
+    small.ns_gm_target = t.ns_gm_target
+    return PG.region_scorecard(small.fact_actuals_estimates, small, FY)
+
+
 def _mixed_case(spark, root) -> Star:
     """The star with the markets of odd customer codes written in lower case, compared without case."""
     t = _star(spark, root)
@@ -350,5 +367,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     pl_matrix_target, pl_drill, performance_matrix, performance_matrix_product, segment_scorecard,
     segment_scorecard_market, revenue_split, revenue_split_division, region_scorecard, kpi_trend,
     segment_scorecard_market_target, kpi_trend_ly, sc_kpis_customer, sc_kpis_segment, pl_drill_ly, pl_drill_target,
-    sc_drill, kpi_series_channel_market, market_contribution_caseless, top_markets_per_region_caseless, sales_coverage, unpriced_sales, call_forecast_accuracy, call_monthly_gross_sales, call_monthly_gross_sales_multi,
+    region_scorecard_lattice, expense_ranks, sc_drill, kpi_series_channel_market, market_contribution_caseless, top_markets_per_region_caseless, sales_coverage, unpriced_sales, call_forecast_accuracy, call_monthly_gross_sales, call_monthly_gross_sales_multi,
 ]}

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job of this library expects; the values are sized for
 # local testing and are meant to be overridden by the cluster's own config.
@@ -55,6 +57,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     return sc.getCheckpointDir()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder, which the driver and all executors share.
+
+    Only a session in one process that names no folder (tests) gets a temporary one.
+    """
+    if ensure_checkpoint_dir(spark) is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            master = spark.sparkContext.master
+            if not master.startswith("local") or master.startswith("local-cluster"):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            folder = tempfile.mkdtemp(prefix="revlens-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return spark.sparkContext.getCheckpointDir()
+
+
+def written_once(df: DataFrame) -> DataFrame:
+    """``df`` computed once and written to the shared folder: later reads see the same rows in the
+    same partitions, and survive lost executors."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
+
+
 def scale_conf(shuffle_bytes: int, total_cores: int,
                partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
     """Shuffle and scan sizing for a cluster run (pass to the session builder).
