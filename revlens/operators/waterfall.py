@@ -130,15 +130,18 @@ def net_sales_lines(t, fiscal_year: int | None = None, known_products: bool = Tr
     dimension later drops them there and turns that cut off.
     """
     def of_year(df: DataFrame) -> DataFrame:
-        return df if fiscal_year is None else df.filter(F.col("fiscal_year") == fiscal_year)
+        # within one year the year is no join key, so that lines already dealt out by
+        # customer or product stay where they are
+        return df if fiscal_year is None else df.filter(F.col("fiscal_year") == fiscal_year).drop("fiscal_year")
 
+    year = ["fiscal_year"] if fiscal_year is None else []
     price, pre = of_year(t.fact_gross_price), of_year(t.fact_pre_invoice_deductions)
     if known_products:
         price = price.join(t.dim_product.select("product_code"), "product_code", "left_semi")
     if known_customers:
         pre = pre.join(t.dim_customer.select("customer_code"), "customer_code", "left_semi")
     lines = _sales(t, fiscal_year).join(_post_invoice(t, fiscal_year), ["date", "product_code", "customer_code"])
-    lines = lines.join(price, ["product_code", "fiscal_year"]).join(pre, ["customer_code", "fiscal_year"])
+    lines = lines.join(price, ["product_code", *year]).join(pre, ["customer_code", *year])
     lines = (lines.withColumn("gross_price_total", money(F.col("gross_price") * F.col("sold_quantity")))
              .withColumn("net_invoice_sale", net_invoice_sale())
              .withColumn("post_invoice_discount_pct", post_invoice_pct()))
@@ -152,7 +155,3 @@ def net_invoice_sale_fy(t, fiscal_year: int) -> DataFrame:
                       F.col("gross_price_per_item").alias("gross_price"), "gross_price_total",
                       "pre_invoice_discount_pct", net_invoice_sale().alias("net_invoice_sale"))
 
-
-def fy_range_filter(df: DataFrame, fy: int, date_col: str = "date") -> DataFrame:
-    """Filter on a fiscal year through the date column (pushable range)."""
-    return df.filter(fiscal_year_filter(date_col, fy))

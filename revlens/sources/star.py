@@ -11,12 +11,15 @@ facts partitioned by ``fiscal_year`` so that fiscal-year filters prune files.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, timedelta
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from revlens.functions.arith import money
-from revlens.functions.fiscal import fiscal_year
+from revlens.functions.fiscal import FY_START_MONTH, fiscal_year, fiscal_year_bounds
 from revlens.functions.text import caseless, one_spelling
 from revlens.plans.joins import attach_row
 from revlens.sources.raw import path_exists, read_table, remove_path
@@ -331,6 +334,31 @@ class Star:
             return load
         return Star({name: loader(name) for name in TABLES})
 
+    def starting(self, month: int, years: list[int] | None = None) -> "Star":
+        """This star with fiscal years that start in another month.
+
+        The fiscal year of every dated fact follows from its dates; tables that
+        name a fiscal year without dates (prices, customer discounts, targets,
+        market share) are taken as they are, as the years of that calendar.
+        All operators and sinks run on the result unchanged. ``years`` limits
+        the dated facts to these years: by date and by the stored years that
+        they touch, so that scans still skip the other years.
+        """
+        spans = [fiscal_year_bounds(y, month) for y in years or []]
+
+        def loader(name: str) -> Callable[[], DataFrame]:
+            def load() -> DataFrame:
+                df = getattr(self, name)
+                if not {"date", "fiscal_year"} <= set(df.columns):
+                    return df
+                if years is not None:
+                    inside = [(F.col("date") >= F.lit(lo)) & (F.col("date") < F.lit(hi)) for lo, hi in spans]
+                    touched = {stored_year(d) for lo, hi in spans for d in (lo, hi - timedelta(days=1))}
+                    df = df.filter(F.col("fiscal_year").isin(sorted(touched))).filter(reduce(or_, inside, F.lit(False)))
+                return df.withColumn("fiscal_year", fiscal_year("date", month))
+            return load
+        return Star({name: loader(name) for name in TABLES})
+
     @classmethod
     def is_stored(cls, spark: SparkSession, path: str) -> bool:
         """True when ``write`` completed at ``path`` (its last table has _SUCCESS)."""
@@ -342,6 +370,11 @@ class Star:
         return cls.read(spark, path) if cls.is_stored(spark, path) else cls.from_source(spark, path)
 
 
+def stored_year(day: date) -> int:
+    """The fiscal year that the stored facts give a day."""
+    return day.year + (FY_START_MONTH > 1 and day.month >= FY_START_MONTH)
+
+
 def _table_dir(path: str, name: str) -> str:
     return f"{path.rstrip('/')}/{name}"
 

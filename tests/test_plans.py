@@ -77,3 +77,18 @@ def test_fiscal_year_reports_prune_every_partitioned_scan(spark, stored_star, na
         filters = scan.split("PartitionFilters: [")[1].split("]")[0]
         assert "fiscal_year" in filters, f"{table} not pruned: {scan[:300]}"
     assert checked > 0
+
+
+@pytest.mark.parametrize("name,most", [("net_sales_by_customer", 9), ("net_sales_by_customer_region", 9), ("customer_contribution", 18)])
+def test_hash_exchanges_without_broadcasts(spark, stored_star, name, most):
+    """Lines of one year move by product and by customer, never by year; sums by customer stay where the lines are."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    try:
+        plan = physical_plan(QUERIES[name](spark, stored_star))
+        assert plan.count("Exchange hashpartitioning") <= most, plan
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
