@@ -1,0 +1,120 @@
+"""Licenses that differ by one word, identifiers, many notices in one text; the ranking decides what is aligned."""
+
+import random
+import time
+
+import pytest
+
+from revlens.llm import op01_license as op1
+
+SCANNER = op1.Scanner(op1.TEMPLATES)
+
+
+def confirmed(text):
+    return [r[2] for r in SCANNER.rows(text) if r[3]]
+
+
+@pytest.mark.parametrize(
+    "text,licenses",
+    [
+        ("Licensed under CC BY-NC-SA 4.0.", ["CC-BY-NC-SA-4.0"]),
+        ("Licensed under CC BY-ND 4.0.", ["CC-BY-ND-4.0"]),
+        ("Licensed under CC BY 3.0.", []),
+        ("Licensed under CC BY-SA 4.0, as is the rest.", ["CC-BY-SA-4.0"]),
+        ("This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.", ["CC-BY-NC-SA-4.0-long"]),
+        ("This work is licensed under a Creative Commons Attribution-NoDerivs 4.0 International License.", []),
+        ("This work is licensed under the GNU Affero General Public License, version 3.", ["AGPL-3.0"]),
+        ("This work is licensed under the GNU General Public License, version 3.", ["GPL-3.0"]),
+        ("This work is licensed under the GNU Lesser General Public License, version 3.", ["LGPL-3.0"]),
+        ("This work is licensed under the GNU Library General Public License, version 3.", []),
+        ("This work is licensed under the GNU General Public License, version 4.", []),
+        ("Released under the BSD 3 License.", []),
+        ("Released under the BSD 3-Clause License.", ["BSD-3-Clause-short"]),
+        ("Released under the BSD 2-Clause License.", ["BSD-2-Clause-short"]),
+        ("Released under the BSD License.", ["BSD-short"]),
+        ("Released under the ISC License.", ["ISC"]),
+        ("Released under the MIT License.", ["MIT"]),
+        ("Released under the MIT-0 License.", []),
+        ("Released under the Apache License.", []),
+        ("This project is MIT licensed.", ["MIT-licensed"]),
+        ("SPDX-License-Identifier: MIT", ["SPDX-MIT"]),
+        ("# SPDX-License-Identifier: Apache-2.0\nimport os", ["SPDX-Apache-2.0"]),
+        ("// SPDX-License-Identifier: GPL-2.0-or-later", ["SPDX-GPL-2.0-or-later"]),
+        ("/* SPDX-License-Identifier: BSD-3-Clause */", ["SPDX-BSD-3-Clause"]),
+        ("SPDX-License-Identifier: BSD-3-Clause-Clear", []),
+        ("SPDX-License-Identifier: MIT-Modern-Variant", []),
+        ("SPDX-License-Identifier: GPL-3.0+", []),
+        ("SPDX-License-Identifier: CC-BY-NC-SA-4.0", ["SPDX-CC-BY-NC-SA-4.0"]),
+        ("a driving license is needed, and the copyright office is shut", []),
+    ],
+)
+def test_what_is_confirmed(text, licenses):
+    assert confirmed(text) == licenses
+    assert confirmed("some words before it\n" + text + "\nand after") == licenses
+
+
+@pytest.mark.parametrize("name", sorted(op1.TEMPLATES))
+def test_every_template_is_told_from_all_others(name):
+    """The template itself is confirmed, with any word that tells licenses apart left out it is not; small changes of long ones are allowed."""
+    text = op1.TEMPLATES[name]
+    assert confirmed(text) == confirmed("word " * 300 + text + " word" * 300) == [name]
+    words = text.split(" ")
+    for k, word in enumerate(words):
+        bare = [x.lower() for x in op1.WORD.findall(word)]
+        if any(x in op1.TELLING or x.replace(".", "").isdigit() for x in bare):
+            assert name not in confirmed(" ".join([*words[:k], *words[k + 1 :]]))
+    if len(words) > 40:
+        assert confirmed(" ".join([*words[:20], "truly", *words[20:]])) == [name]
+
+
+def brute(text):
+    """Every stretch of words that equals a template, by trying all places; of nested ones the widest."""
+    tokens = [(m[0].lower(), *m.span()) for m in op1.WORD.finditer(text)]
+    found = []
+    for name, wanted in SCANNER.words.items():
+        for k in range(len(tokens) - len(wanted) + 1):
+            if [x[0] for x in tokens[k : k + len(wanted)]] == wanted:
+                found.append((tokens[k][1], tokens[k + len(wanted) - 1][2], name))
+    return sorted(x for x in found if not any(y[0] <= x[0] and x[1] <= y[1] and y[1] - y[0] > x[1] - x[0] for y in found))
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_whole_scan_against_brute_force(seed):
+    rng = random.Random(seed)
+    parts = []
+    for _ in range(60):
+        parts.append(rng.choice([op1.TEMPLATES[rng.choice(sorted(op1.TEMPLATES))], " ".join(f"w{rng.randrange(500)}" for _ in range(rng.randrange(1, 30))), "the license", "copyright 2001"]))
+    text = rng.choice(["\n", "\n\n", " -- "]).join(parts)
+    exact = [(r[0], r[1], r[2]) for r in SCANNER.rows(text) if r[3] and r[7] == 0]
+    assert exact == brute(text)
+
+
+@pytest.mark.parametrize("between", [" ", "\n"])
+def test_many_notices_in_linear_time(between):
+    some = ["Released under the MIT License.", "Licensed under CC BY 4.0.", "All rights reserved."]
+
+    def run(n):
+        text = between.join(some[k % 3] for k in range(n))
+        start = time.process_time()
+        rows = SCANNER.rows(text)
+        assert len(rows) == n and all(r[3] for r in rows)
+        return time.process_time() - start
+
+    small, large = run(1000), run(10_000)
+    assert large < 20 * small + 1 and large < 60
+
+
+def test_long_text_with_notices(spark):
+    filler = " ".join(f"word{k}" for k in range(40_000))
+    text = filler + "\nSPDX-License-Identifier: MIT\n" + filler + " Released under the MIT License. " + filler
+    out = op1.scan(spark.createDataFrame([(1, text), (2, text), (2, text)], "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["license"], r["start"]) for r in out) == sorted(2 * [(2, "MIT", text.index("Released"))] + 2 * [(2, "SPDX-MIT", text.index("SPDX"))] + [(1, "MIT", text.index("Released")), (1, "SPDX-MIT", text.index("SPDX"))])
+
+
+def test_the_ranking_decides(monkeypatch):
+    """Without leaders nothing is aligned; the right template is among the leaders of every notice."""
+    for name, text in op1.TEMPLATES.items():
+        cues = list(op1.CUE.finditer(text))
+        assert any(name == x[0] for m in cues for x in SCANNER.leaders(text, *m.span(), 0)), name
+    monkeypatch.setattr(op1.Scanner, "leaders", lambda *a: [])
+    assert not any(r[3] for r in SCANNER.rows("some\nreleased under no license"))
