@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,6 +28,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files that nothing refers to any more: it does so when the driver collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def smallest(df: DataFrame, key: Column, count: int) -> DataFrame:
     """The `count` rows of `df` with the smallest values of `key`, a 64-bit hash that no two rows share; a bounded sample.
 
