@@ -116,7 +116,7 @@ def keys_of(core: str, digits: str) -> set[str]:
 def one_entity(kind: str, text: str) -> bool:
     """Whether neighbouring tokens can be one entity of the kind."""
     digits = digits_of(text)
-    return (kind == "card" and 12 <= len(digits) <= 19 and luhn(digits)) or (kind == "phone" and 7 <= len(digits) <= 15)
+    return (kind == "card" and 12 <= len(digits) <= 19 and luhn(digits)) or (kind == "phone" and len(digits) <= 15)
 
 
 class Graph:
