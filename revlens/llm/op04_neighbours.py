@@ -1,6 +1,9 @@
 """Approximate nearest neighbours: hierarchical k-means tree, best-bin-first search.
 
-The tree is fitted on a bounded sample (the `SAMPLE` vectors with the smallest id hash); every
+The number of leaves follows from the number of vectors (one for every `PER_LEAF`, `LEAVES` at least), so that
+a visited leaf holds about as many vectors in a table of any size. The tree is fitted on a bounded
+sample (the vectors with the smallest id hash: 16 for each leaf, from `FEWEST` to `SAMPLE`, which
+bounds the leaves to `SAMPLE` / 16; beyond 82 million vectors leaves grow instead); every
 vector is then indexed by walking down to its leaf. A query walks the tree through a priority
 queue of nodes by distance to their centres and visits the nearest leaves first. How many
 leaves are visited is calibrated: for a bounded set of `CALIBRATION` queries the true
@@ -31,8 +34,10 @@ from revlens.llm.shared import cut, smallest
 
 K = 10
 EVERY = 100
-SAMPLE = 20_000
+SAMPLE = 320_000
+FEWEST = 20_000
 LEAVES = 256
+PER_LEAF = 4096
 BRANCH = 8
 CALIBRATION = 200
 RECALL = 0.97
@@ -113,6 +118,12 @@ def kmeans(points: np.ndarray, k: int, random: np.random.Generator, rounds: int
     return centres, owner
 
 
+def choose_leaves(vectors: int, sample: int = SAMPLE) -> tuple[int, int]:
+    """Leaves for a table of so many vectors, and the size of the sample they are fitted on."""
+    leaves = max(1, min(max(LEAVES, vectors // PER_LEAF), sample // 16))
+    return leaves, min(sample, max(FEWEST, 16 * leaves))
+
+
 def usable(vectors: DataFrame) -> DataFrame:
     """id and vec (doubles) of the rows that take part."""
     rows = vectors.select(F.col("vec_id").cast("long").alias("id"), F.col("embedding").cast("array<double>").alias("vec")).where("id IS NOT NULL AND vec IS NOT NULL")
@@ -169,16 +180,19 @@ def brute_force(points: DataFrame, query_ids: np.ndarray, queries: np.ndarray, k
     return top(found, k)
 
 
-def neighbours(vectors: DataFrame, k: int = K, every: int = EVERY, recall: float = RECALL, sample: int = SAMPLE, leaves: int = LEAVES, branch: int = BRANCH, calibration: int = CALIBRATION, block: int = BLOCK) -> DataFrame:
+def neighbours(vectors: DataFrame, k: int = K, every: int = EVERY, recall: float = RECALL, sample: int = SAMPLE, leaves: int | None = None, branch: int = BRANCH, calibration: int = CALIBRATION, block: int = BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found for every query."""
     spark = vectors.sparkSession
     result = "query_id long, rank int, vec_id long, score double"
     points = usable(vectors)
-    chosen = smallest(points, F.xxhash64("id"), sample).collect()
-    if not chosen:
+    fitting, size = choose_leaves(points.count(), sample)
+    leaves = fitting if leaves is None else leaves
+    chosen = smallest(points, F.xxhash64("id"), size).toArrow()
+    if not chosen.num_rows:
         return spark.createDataFrame([], result)
-    chosen.sort(key=lambda r: (r["id"], r["vec"]))
-    fitted = np.array([r["vec"] for r in chosen])
+    fitted = matrix(chosen.column("vec").combine_chunks())
+    # in an order that doesn't depend on how rows came
+    fitted = fitted[np.argsort(np.rec.fromarrays([chosen.column("id").to_numpy(), [v.tobytes() for v in fitted]]), kind="stable")]
     tree = Tree(fitted, max(1, min(leaves, len(fitted) // 16)), branch)
     shipped = spark.sparkContext.broadcast(tree)
 
