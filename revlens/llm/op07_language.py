@@ -4,8 +4,9 @@ A text is the row of its letters (lower case; every other character counts as on
 as hashed byte pairs and triples: square roots of their shares, `FEATURES` places. A softmax
 over families decides the family; within it, a linear support vector machine for every pair of
 languages votes. Both are fitted on a bounded sample, the `PER_LANGUAGE` rows with the smallest
-text hash of each language among rows whose crc32(doc_id as text) mod 4 is not 2. Prediction
-reads whole texts and nothing else.
+text hash of each language among rows whose crc32(doc_id as text) mod 4 is not 2, fewer where there
+are so many languages that more than `SAMPLE` rows would come together (they reach the driver as
+sparse rows). Prediction reads whole texts and nothing else.
 
 Defined results: one row per input row; `und` with score 0 for a null text or one without a
 letter, and for all rows if nothing could be learned; a null doc_id is not held out and not
@@ -28,6 +29,8 @@ from revlens.llm import arrowtext
 
 FEATURES = 1 << 12
 PER_LANGUAGE = 400
+SAMPLE = 10_000
+PLACE = np.dtype([("at", "<u2"), ("value", "<f4")])
 
 #: Language codes of each family.
 FAMILIES = {
@@ -142,9 +145,30 @@ def predict(model: dict, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return best, p[rows, family] * belief[rows, best] / np.maximum(belief.sum(1), 1e-300)
 
 
-def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> dict | None:
+def packed(x: np.ndarray) -> list[bytes]:
+    """Places and values of each row that aren't zero."""
+    out = []
+    for row in x:
+        at = np.flatnonzero(row)
+        places = np.empty(len(at), PLACE)
+        places["at"], places["value"] = at, row[at]
+        out.append(places.tobytes())
+    return out
+
+
+def unpacked(rows: list[bytes]) -> np.ndarray:
+    x = np.zeros((len(rows), FEATURES), np.float32)
+    for k, data in enumerate(rows):
+        places = np.frombuffer(data, PLACE)
+        x[k, places["at"]] = places["value"]
+    return x
+
+
+def train(docs: DataFrame, per_language: int = PER_LANGUAGE, sample: int = SAMPLE) -> dict | None:
+    """The model; of rows that share an id and language the first in byte order of their features is learned from."""
     learn = docs.select("doc_id", "lang", "text").where("lang IS NOT NULL AND text IS NOT NULL AND crc32(cast(doc_id AS string)) % 4 <> 2")
     thin = learn.select("doc_id", "lang", F.xxhash64("text").alias("h"))
+    per_language = max(1, min(per_language, sample // max(1, learn.select("lang").distinct().count())))
     order = Window.partitionBy("lang").orderBy("h", "doc_id")
     chosen = thin.withColumn("k", F.row_number().over(order)).where(F.col("k") <= per_language).select("doc_id", F.col("lang").alias("lang_learned"))
 
@@ -152,15 +176,15 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> dict | None:
         for batch in batches:
             for part in arrowtext.slices(batch, "text"):
                 x, has = profiles(part.column("text"))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("lang"), pa.array(has), pa.array([r.tobytes() for r in x], pa.binary())], ["doc_id", "lang", "has", "x"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("lang"), pa.array(has), pa.array(packed(x), pa.binary())], ["doc_id", "lang", "has", "x"])
 
     # bounded: per_language rows of each language
     texts = learn.join(F.broadcast(chosen), (F.col("lang") == F.col("lang_learned")) & learn["doc_id"].eqNullSafe(chosen["doc_id"]), "left_semi")
-    rows = texts.select(F.col("doc_id").cast("long"), "lang", "text").mapInArrow(task, "doc_id long, lang string, has boolean, x binary").where("has").dropDuplicates(["doc_id", "lang"]).collect()
+    rows = texts.select(F.col("doc_id").cast("long"), "lang", "text").mapInArrow(task, "doc_id long, lang string, has boolean, x binary").where("has").groupBy("doc_id", "lang").agg(F.min("x").alias("x")).collect()
     rows.sort(key=lambda r: (r["lang"], r["doc_id"]))
     if not rows:
         return None
-    return fit(np.stack([np.frombuffer(r["x"], np.float32) for r in rows]), [r["lang"] for r in rows])
+    return fit(unpacked([r["x"] for r in rows]), [r["lang"] for r in rows])
 
 
 def identify(docs: DataFrame, model: dict | None) -> DataFrame:
