@@ -6,11 +6,12 @@ penalty, fitted on a bounded sample: the `SAMPLE` labelled rows with the smalles
 those whose crc32(doc_id as text) mod 5 is not 0. Every sampled text that names a group is
 copied with its identity terms (plurals too) swapped for others of the list; as these have no
 stems, swapped places are those of the swapped text. The squared change of the score between original and copies is penalised, so that a neutral mention does not raise it.
-Scoring reads whole texts and nothing else.
+The fit uses the `SELECTED` places whose share of toxic texts is furthest from the mean, and the identity terms; all
+other words of the bounded sample tell nothing or too little to be learned. Scoring reads whole texts and nothing else.
 
 Defined results: one row per input row; null and empty texts get the score of a text without a
 known word; a null doc_id is not held out; null labels are not learned from; of several labels
-of an id the largest counts; rows repeat as they come; extra columns are ignored. With no
+of an id the largest counts, and of its texts the first in byte order of their words is learned from; rows repeat as they come; extra columns are ignored. With no
 labelled row the score is 0 for all.
 """
 
@@ -160,7 +161,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.
 
     # the sample is bounded, so it may be broadcast
     chosen = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(learn.select(F.col("doc_id").cast("long"), "toxic")), "doc_id")
-    rows = chosen.mapInArrow(task, "doc_id long, toxic int, words binary").dropDuplicates(["doc_id"]).collect()
+    rows = chosen.mapInArrow(task, "doc_id long, toxic int, words binary")
+    rows = rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("words").alias("words")).collect()
     rows.sort(key=lambda x: x["doc_id"])
     if not rows:
         return None
