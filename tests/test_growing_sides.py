@@ -1,0 +1,67 @@
+"""Tables of a row per product or customer are never broadcast, however small their files."""
+
+from datetime import datetime, timedelta
+
+import pytest
+
+from revlens.plans.inspect import physical_plan
+from revlens.reports import QUERIES
+from revlens.sources.lattice import Lattice
+from revlens.sources.star import Star
+
+LINES = ["waterfall_gross", "waterfall_net_invoice", "waterfall_post_invoice", "waterfall_net_sales"]
+PAGES = ["gm_gap_flag", "kpi_series_channel_market", "kpi_trend", "kpi_trend_ly", "pl_last_year", "pl_measures", "pl_rows", "pl_vs_target"]
+GROWING = ("p_partkey", "c_custkey", "dim_product]", "dim_customer]", "fact_gross_price]", "fact_pre_invoice_deductions]")
+
+
+@pytest.fixture(scope="module")
+def source(spark, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("growing"))
+    rows = {
+        "region": ("r_regionkey int, r_name string", [(0, "here"), (1, "there")]),
+        "nation": ("n_nationkey int, n_name string, n_regionkey int", [(0, "A", 0), (1, "B", 1)]),
+        "customer": ("c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string", [(k, f"customer {k * 7919}", k % 2, k * 1.37, f"S{k % 5}") for k in range(1, 1001)]),
+        "part": ("p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+                 [(k, f"part {k * 7907}", f"Brand#{k % 5}", f"TYPE{k % 9}", k % 50, 900.0 + k) for k in range(1, 1001)]),
+        "orders": ("o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz", [(k, k % 1000 + 1, datetime(1995, 1, 5) + timedelta(days=k)) for k in range(1, 1200)]),
+        "lineitem": ("l_orderkey bigint, l_partkey bigint, l_quantity double, l_extendedprice double, l_discount double, l_tax double",
+                     [(k % 1199 + 1, k * 31 % 1000 + 1, float(k % 50 + 1), k * 10.0, 0.05, 0.02) for k in range(2400)]),
+    }
+    for name, (schema, data) in rows.items():
+        spark.createDataFrame(data, schema).coalesce(1).write.parquet(f"{root}/{name}.parquet")
+    return root
+
+
+def broadcast_scans(df):
+    """Scans of growing tables below a broadcast."""
+    lines = physical_plan(df).splitlines()
+    depth = [next((k for k, c in enumerate(x) if c.isalnum() or c == "*"), 0) for x in lines]
+    out = []
+    for i, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            end = next((k for k in range(i + 1, len(lines)) if depth[k] <= depth[i]), len(lines))
+            out += [x.strip() for x in lines[i + 1 : end] if "FileScan" in x and any(c in x for c in GROWING)]
+    return out
+
+
+@pytest.mark.parametrize("name", [*LINES, *PAGES, "sales_coverage", "product_gross_sales", "call_monthly_gross_sales"])
+def test_growing_tables_are_not_broadcast(spark, source, name):
+    df = QUERIES[name](spark, source)
+    assert "SortMergeJoin" in physical_plan(df)
+    assert broadcast_scans(df) == []
+
+
+def test_lattice_of_a_star_is_built_without_broadcasts_of_growing_tables(spark, source):
+    t = Star.from_source(spark, source)
+    lattice = Lattice(spark, "nowhere", {}, t.fact_actuals_estimates)
+    assert broadcast_scans(lattice.star_for(t, ["region"]).fact_actuals_estimates) == []
+
+
+@pytest.mark.parametrize("name", ["waterfall_net_sales", "sales_coverage", "product_gross_sales"])
+def test_stored_tables_are_not_broadcast(spark, source, tmp_path, name):
+    path = str(tmp_path / "s")
+    Star.build(spark, source, path)
+    want = sorted(map(tuple, QUERIES[name](spark, source).collect()))
+    stored = QUERIES[name](spark, path)
+    assert broadcast_scans(stored) == []
+    assert sorted(map(tuple, stored.collect())) == want
