@@ -1,0 +1,65 @@
+"""Order lines, of which there is most, are moved once for each step."""
+
+from datetime import datetime, timedelta
+
+import pytest
+
+from revlens.operators import waterfall as W
+from revlens.plans.inspect import physical_plan
+from revlens.reports import QUERIES
+from revlens.sources.star import Star
+
+
+def tables(spark, root, lines):
+    rows = {
+        "region": ("r_regionkey int, r_name string", [(0, "here"), (1, "there")]),
+        "nation": ("n_nationkey int, n_name string, n_regionkey int", [(0, "A", 0), (1, "B", 1), (2, None, 1)]),
+        # a customer and a part listed twice, and null keys
+        "customer": ("c_custkey bigint, c_nationkey int, c_mktsegment string", [(k, k % 3, f"S{k % 5}") for k in range(1, 41)] + [(7, 1, "S9"), (None, 0, None)]),
+        "part": ("p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+                 [(k, f"part {k}", f"Brand#{k % 5}", f"TYPE{k % 9}", k % 50, 900.0 + k) for k in range(1, 31)] + [(3, "again", None, "T", 1, 5.0), (None, "x", "y", "z", 1, 1.0)]),
+        "orders": ("o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
+                   [(k, k % 44 or None, datetime(1995, 1, 31) + timedelta(days=3 * k) if k % 50 else None) for k in range(1, 300)]),
+        "lineitem": ("l_orderkey bigint, l_partkey bigint, l_quantity double, l_extendedprice double, l_discount double, l_tax double",
+                     [(k % 299 + 1 if k % 41 else None, k * 7 % 33 or None, float(k % 50 + 1), k * 10.0, 0.01 * (k % 9) if k % 23 else None, 0.02) for k in range(lines)]),
+    }
+    for name, (schema, data) in rows.items():
+        spark.createDataFrame(data, schema).coalesce(1).write.parquet(f"{root}/{name}.parquet")
+    return root
+
+
+@pytest.fixture(scope="module")
+def source(spark, tmp_path_factory):
+    return tables(spark, str(tmp_path_factory.mktemp("moves")), 2400)
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def line_moves(df):
+    """Hash exchanges with a scan of order lines below them."""
+    text = physical_plan(df).splitlines()
+    depth = [next((k for k, c in enumerate(x) if c.isalnum() or c == "*"), 0) for x in text]
+    out = 0
+    for i, line in enumerate(text):
+        if "Exchange hashpartitioning" in line:
+            end = next((k for k in range(i + 1, len(text)) if depth[k] <= depth[i]), len(text))
+            out += any("FileScan" in x and "l_orderkey" in x for x in text[i:end])
+    return out
+
+
+@pytest.mark.parametrize("name", ["waterfall_net_sales"])
+def test_lines_move_once_for_each_step(spark, source, name):
+    # both facts: by order and by their grain; then together by product and by customer
+    assert line_moves(QUERIES[name](spark, source)) <= 6
+
+
+def test_layers_composed_at_once_equal_the_layers_one_by_one(spark, source):
+    t = Star.from_source(spark, source)
+    post = W.with_post_invoice(W.with_pre_invoice(W.gross_sales(t), t), t)
+    got, net = W.post_invoice_sales(t), W.net_sales(t, keep_components=False)
+    assert got.dtypes == post.dtypes and rows(got) == rows(post) and got.count() > 100
+    assert rows(net.select("date", *[c for c in net.columns if c != "date"])) == rows(W.with_net_sales(post).select("date", *[c for c in net.columns if c != "date"]))
+    year = W.with_post_invoice(W.with_pre_invoice(W.gross_sales(t, 1996), t), t, keep_components=True, fiscal_year=1996)
+    assert rows(W.post_invoice_sales(t, 1996, keep_components=True)) == rows(year)
