@@ -49,7 +49,7 @@ def line_moves(df):
     return out
 
 
-@pytest.mark.parametrize("name", ["waterfall_net_sales"])
+@pytest.mark.parametrize("name", ["waterfall_net_sales", "waterfall_post_invoice"])
 def test_lines_move_once_for_each_step(spark, source, name):
     # both facts: by order and by their grain; then together by product and by customer
     assert line_moves(QUERIES[name](spark, source)) <= 6
