@@ -1,11 +1,13 @@
-"""Order lines, of which there is most, are moved once for each step."""
+"""Order lines, of which there is most, are moved once for each step, and P&L reports with targets join them once."""
 
 from datetime import datetime, timedelta
 
 import pytest
 
-from revlens.operators import waterfall as W
-from revlens.plans.inspect import physical_plan
+from revlens import reports
+from revlens.operators import measures as M, pages as PG, waterfall as W
+from revlens.operators.output import decimals_to_double
+from revlens.plans.inspect import physical_plan, scans
 from revlens.reports import QUERIES
 from revlens.sources.star import Star
 
@@ -33,6 +35,11 @@ def source(spark, tmp_path_factory):
     return tables(spark, str(tmp_path_factory.mktemp("moves")), 2400)
 
 
+@pytest.fixture(scope="module")
+def empty(spark, tmp_path_factory):
+    return tables(spark, str(tmp_path_factory.mktemp("none")), 0)
+
+
 def rows(df):
     return sorted((tuple(r) for r in df.collect()), key=str)
 
@@ -63,3 +70,33 @@ def test_layers_composed_at_once_equal_the_layers_one_by_one(spark, source):
     assert rows(net.select("date", *[c for c in net.columns if c != "date"])) == rows(W.with_net_sales(post).select("date", *[c for c in net.columns if c != "date"]))
     year = W.with_post_invoice(W.with_pre_invoice(W.gross_sales(t, 1996), t), t, keep_components=True, fiscal_year=1996)
     assert rows(W.post_invoice_sales(t, 1996, keep_components=True)) == rows(year)
+
+
+def direct(spark, root, name):
+    """The report with amounts and targets both summed from the lines."""
+    t = Star.from_source(spark, root)
+    if name == "region_scorecard_lattice":
+        return PG.region_scorecard(t.fact_actuals_estimates, t, reports.FY)
+    dims = ["fiscal_year", "market"]
+    m = M.with_benchmark(M.with_targets(M.measures(t.fact_actuals_estimates, dims), t, dims), "target")
+    return decimals_to_double(m)
+
+
+@pytest.mark.parametrize("name", ["region_scorecard_lattice"])
+def test_reports_with_targets_join_the_lines_once(spark, source, name):
+    got = QUERIES[name](spark, source)
+    assert not [x for x in scans(got) if "l_orderkey" in x]
+    want = direct(spark, source, name).select(*got.columns)
+    assert got.dtypes == want.dtypes and rows(got) == rows(want) and got.count() > 1
+
+
+@pytest.mark.parametrize("name", ["region_scorecard_lattice"])
+def test_reports_with_targets_of_no_lines(spark, empty, name):
+    assert rows(QUERIES[name](spark, empty)) == rows(direct(spark, empty, name)) == []
+
+
+def test_targets_put_in_their_place_are_used(spark, source, tmp_path):
+    t = Star.from_source(spark, source)
+    t.ns_gm_target = spark.createDataFrame([("A", 1, 2, 3, 1997)], "market string, ns_target int, gm_target int, np_target int, fiscal_year int")
+    lattice = reports._lattice(spark, t, [("market",)])
+    assert rows(lattice.star_for(t, ["market"]).ns_gm_target) == [("A", 1, 2, 3, 1997)]
