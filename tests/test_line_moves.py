@@ -82,7 +82,7 @@ def direct(spark, root, name):
     return decimals_to_double(m)
 
 
-@pytest.mark.parametrize("name", ["region_scorecard_lattice"])
+@pytest.mark.parametrize("name", ["pl_vs_target", "region_scorecard_lattice"])
 def test_reports_with_targets_join_the_lines_once(spark, source, name):
     got = QUERIES[name](spark, source)
     assert not [x for x in scans(got) if "l_orderkey" in x]
@@ -90,7 +90,7 @@ def test_reports_with_targets_join_the_lines_once(spark, source, name):
     assert got.dtypes == want.dtypes and rows(got) == rows(want) and got.count() > 1
 
 
-@pytest.mark.parametrize("name", ["region_scorecard_lattice"])
+@pytest.mark.parametrize("name", ["pl_vs_target", "region_scorecard_lattice"])
 def test_reports_with_targets_of_no_lines(spark, empty, name):
     assert rows(QUERIES[name](spark, empty)) == rows(direct(spark, empty, name)) == []
 
